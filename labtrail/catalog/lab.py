@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labtrail.catalog.registry import table
+from labtrail.rules import rule_table
 
 # column -> (expression, tables it needs besides lineitem)
 COLUMNS: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -145,9 +146,7 @@ def lab(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def scope_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(SCOPE_ROWS), "parametro string, matriz string, planejamento string, metodo string, prazo string"
-    )
+    return rule_table(spark, ("parametro", "matriz", "planejamento", "metodo", "prazo"), SCOPE_ROWS)
 
 
 def plan_table(spark: SparkSession, sf_dir: str) -> DataFrame:

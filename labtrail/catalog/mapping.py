@@ -18,7 +18,7 @@ from labtrail.operators.flags import (
 )
 from labtrail.operators.parameters import convert_units, map_parameters, split_unmapped
 from labtrail.operators.samples import clean_names, map_samples, unmapped_to_append
-from labtrail.rules import UNIT_FACTORS, unit_factors
+from labtrail.rules import UNIT_FACTORS, rule_table, unit_factors
 from labtrail.sources.lookups import for_project, station_dim
 
 _PARSED = """
@@ -216,10 +216,8 @@ LOOKUP = (
 
 
 def lookup_table(spark):
-    return spark.createDataFrame(
-        list(LOOKUP_ROWS),
-        "parametro_de string, matriz_de string, parametro_para string, unidade_para string",
-    )
+    columns = ("parametro_de", "matriz_de", "parametro_para", "unidade_para")
+    return rule_table(spark, columns, LOOKUP_ROWS)
 
 
 def standard_rows(spark, sf_dir, *columns):

@@ -24,12 +24,18 @@ def _shape(pattern: str) -> str:
 def parse_timestamp(raw: Column, formats: Sequence[str]) -> Column:
     """The first format that reads the text wins; null when none does.
 
-    Each format is tried only on texts of its shape. A failing parse is far dearer than a LIKE, and with
-    several formats most attempts fail.
+    Each format is tried only on texts of its length and shape. A failing parse is far dearer than these
+    tests, and with several formats most attempts fail.
     """
-    return F.coalesce(
-        *[F.when(raw.like(_shape(f)), F.try_to_timestamp(raw, F.lit(f))) for f in formats]
-    )
+
+    def attempt(fmt: str) -> Column:
+        shape = _shape(fmt)
+        fits = raw.like(shape)
+        if "%" not in shape:
+            fits = (F.length(raw) == len(shape)) & fits
+        return F.when(fits, F.try_to_timestamp(raw, F.lit(fmt)))
+
+    return F.coalesce(*[attempt(f) for f in formats])
 
 
 def elapsed_days(later: Column, earlier: Column) -> Column:

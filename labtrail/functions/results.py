@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Blanks at both ends, non-breaking ones included: sheets are full of them.
-_EDGE_BLANKS = r"(?U)^\s+|\s+$"
-_QUALIFIED = r"^([<>])\s*([^\n]+)$"
-_NUMBER = r"^-?[0-9]+([.,][0-9]+)?$"
+# White space at the ends of a cell, the non-breaking and typographic kinds included.
+BLANKS = (
+    " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+_QUALIFIED = r"(?U)^[<>]\s*[^\n]+$"
+_NUMBER = r"(?U)^(?:[<>]\s*)?(-?[0-9]+(?:[.,][0-9]+)?)$"
 
 
 def parse_result(raw: Column) -> Column:
@@ -17,30 +20,27 @@ def parse_result(raw: Column) -> Column:
     `numeric` keeps the digits as written. `numeric` and `text` exclude each other: what is not a number
     goes to `text` as a whole, qualifier included. A null result gives three nulls.
     """
-    text = F.regexp_replace(raw, _EDGE_BLANKS, "")
-    qualifier = F.nullif(F.regexp_extract(text, _QUALIFIED, 1), F.lit(""))
-    amount = F.when(
-        qualifier.isNotNull(), F.regexp_replace(F.regexp_extract(text, _QUALIFIED, 2), _EDGE_BLANKS, "")
-    ).otherwise(text)
-    is_number = amount.rlike(_NUMBER)
+    text = F.btrim(raw, F.lit(BLANKS))
+    number = F.regexp_extract(text, _NUMBER, 1)
     return F.struct(
-        qualifier.alias("qualifier"),
-        F.when(is_number, amount).alias("numeric"),
-        F.when(~is_number, text).alias("text"),
+        F.when(text.rlike(_QUALIFIED), F.substring(text, 1, 1)).alias("qualifier"),
+        F.when(number != "", number).alias("numeric"),
+        F.when(number == "", text).alias("text"),
     )
 
 
 def decimal_comma(raw: Column) -> Column:
     """Text with a decimal comma or point as a double; anything else is null.
 
-    The last-character test keeps out what a cast would accept but a laboratory does not mean
-    (`NaN`, `Infinity`, `12.5d`).
+    The last character keeps out what a cast would accept but a laboratory does not mean (`NaN`,
+    `Infinity`, `12.5d`).
     """
-    dotted = F.translate(raw, ",", ".")
-    last = F.right(F.rtrim(dotted), F.lit(1))
-    return F.when(last.between("0", "9") | (last == "."), dotted.try_cast("double"))
+    ends_in = F.substring(F.rtrim(raw), -1, 1)
+    return F.when(
+        ends_in.isin(*"0123456789.,"), F.replace(raw, F.lit(","), F.lit(".")).try_cast("double")
+    )
 
 
 def quantification_limit(raw: Column) -> Column:
-    """A limit of `-` means that none applies."""
-    return F.when(F.trim(raw) != "-", decimal_comma(raw))
+    """A limit of `-` means that none applies; it reads as null like any other text."""
+    return decimal_comma(raw)

@@ -40,13 +40,14 @@ def parse_dates_in_place(
 ) -> DataFrame:
     """Replace date columns by timestamps; list in `flag` the columns whose text could not be read.
 
-    Values and flag are computed in one projection, so the flag sees the text and not its replacement.
-    Columns that are absent are skipped, and an existing flag is extended.
+    The parsed values come into columns of their own first, so the flag sees the text and its value, and
+    not the replacement. Columns that are absent are skipped, and an existing flag is extended.
     """
     present = [c for c in columns if c in df.columns]
-    parsed = {c: parse_timestamp(F.trim(F.col(c)), formats) for c in present}
-    failed = [(F.col(c).isNotNull() & parsed[c].isNull(), c) for c in present]
-    return _extend_list(df, flag, failed, parsed)
+    parsed = {f"_parsed_{c}": parse_timestamp(F.trim(F.col(c)), formats) for c in present}
+    failed = [(F.col(c).isNotNull() & F.col(f"_parsed_{c}").isNull(), c) for c in present]
+    replaced = {c: F.col(f"_parsed_{c}") for c in present}
+    return _extend_list(df.withColumns(parsed), flag, failed, replaced).drop(*parsed)
 
 
 def flag_missing(

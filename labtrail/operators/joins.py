@@ -111,8 +111,20 @@ def attach(
     return joined.select(*[F.col(f"`{c}`") for c in rows.columns], *got)
 
 
-def lookup_join(rows: DataFrame, lookup: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Left-join a unique lookup: by broadcast when its counted size allows, else with `attach`."""
-    if fits_broadcast(lookup):
-        return rows.join(F.broadcast(lookup), list(on), "left")
-    return attach(rows, lookup, on)
+def lookup_join(
+    rows: DataFrame, lookup: DataFrame, on: Sequence[str], on_duplicate: str = "first"
+) -> DataFrame:
+    """Left-join a lookup, one row per key at most: by broadcast when it is small, else with `attach`.
+
+    One small job looks at up to `BROADCAST_ROWS` + 1 rows of the lookup for its size and for repeated
+    keys; a lookup that turns out unique is used as it is.
+    """
+    known = lookup.dropna(subset=list(on))
+    size, keys = (
+        known.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.count_distinct(*on)).first()
+    )
+    small = size <= BROADCAST_ROWS
+    unique = known if small and size == keys else unique_lookup(known, on, on_duplicate)
+    if small:
+        return rows.join(F.broadcast(unique), list(on), "left")
+    return attach(rows, unique, on)

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labtrail.operators.joins import lookup_join, unique_lookup
+from labtrail.operators.joins import lookup_join
 
 UNMAPPED = "Parametro nao mapeado"
 CONVERTED = {
@@ -22,18 +22,14 @@ def map_parameters(df: DataFrame, lookup: DataFrame, on_duplicate: str = "first"
     The delivered name stays beside the standard one.
     """
     keys = ["parametroOriginal", "matriz"]
-    rules = unique_lookup(
-        lookup.select(
-            F.col("parametro_de").alias("parametroOriginal"),
-            F.col("matriz_de").alias("matriz"),
-            F.col("parametro_para").alias("parametroCorrigido"),
-            "unidade_para",
-        ),
-        keys,
-        on_duplicate,
+    rules = lookup.select(
+        F.col("parametro_de").alias("parametroOriginal"),
+        F.col("matriz_de").alias("matriz"),
+        F.col("parametro_para").alias("parametroCorrigido"),
+        "unidade_para",
     )
     target = F.col("parametroCorrigido")
-    return lookup_join(df, rules, keys).withColumns(
+    return lookup_join(df, rules, keys, on_duplicate).withColumns(
         {
             "parametroCorrigido_original": F.col("parametroOriginal"),
             "flag_padronizacao": F.when(target.isNull() | (target == ""), F.lit(UNMAPPED)),
@@ -60,11 +56,8 @@ def convert_units(
     Units compare exactly. Equal or unknown units leave the value as it is; a pair without a factor counts
     as 1 and is flagged. All value columns share one lookup, so a limit follows its result.
     """
-    rules = unique_lookup(
-        factors.select(
-            F.col("unit_from").alias(unit_from), F.col("unit_to").alias(unit_to), "factor"
-        ),
-        [unit_from, unit_to],
+    rules = factors.select(
+        F.col("unit_from").alias(unit_from), F.col("unit_to").alias(unit_to), "factor"
     )
     source, target, factor = F.col(unit_from), F.col(unit_to), F.col("factor")
     differs = source != target

@@ -67,21 +67,20 @@ def pair_order_check(
 
     The largest part against the smallest whole tells whether any pair fails, so pairs are never formed.
     """
-    keyed = df.withColumns({f"_key_{k}": c for k, c in keys.items()})
     names = [f"_key_{k}" for k in keys]
-    side = part | whole
+    keyed = df.withColumns({"_is_part": part, "_is_whole": whole, **dict(zip(names, keys.values()))})
+    side = F.col("_is_part") | F.col("_is_whole")
     sides = keyed.where(side) if mode == "pair" else keyed
     extremes = sides.groupBy(*names).agg(
-        F.max(F.when(part, F.col("value"))).alias("_part"),
-        F.min(F.when(whole, F.col("value"))).alias("_whole"),
+        F.max(F.when(F.col("_is_part"), F.col("value"))).alias("_part"),
+        F.min(F.when(F.col("_is_whole"), F.col("value"))).alias("_whole"),
         F.count("*").alias("_n"),
     )
     verdicts = extremes.select(
         *names, "_n", F.when(exceeds(F.col("_part"), F.col("_whole")), F.lit(message)).alias(flag)
     )
-    return attach(keyed, verdicts, names, weight="_n", only=side if mode == "pair" else None).drop(
-        *names
-    )
+    checked = attach(keyed, verdicts, names, weight="_n", only=side if mode == "pair" else None)
+    return checked.drop("_is_part", "_is_whole", *names)
 
 
 def total_dissolved(df: DataFrame, excluded_samples: Sequence[str] = (), mode: str = "pair") -> DataFrame:

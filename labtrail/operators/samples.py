@@ -32,15 +32,11 @@ def map_samples(
     stations = unique_lookup(
         station.select(F.col("SampleName").alias(NAME), *taken), [NAME], on_duplicate
     )
-    manual = unique_lookup(
-        corrections.select(
-            F.col("descricaoAmostra_de").alias(NAME),
-            F.col("descricaoAmostra_para").alias("_target"),
-            F.col(STATION_CODE).alias("_manual_code"),
-            F.col("alternate_name").alias("_manual_name"),
-        ),
-        [NAME],
-        on_duplicate,
+    manual = corrections.select(
+        F.col("descricaoAmostra_de").alias(NAME),
+        F.col("descricaoAmostra_para").alias("_target"),
+        F.col(STATION_CODE).alias("_manual_code"),
+        F.col("alternate_name").alias("_manual_name"),
     )
     corrected = stations.select(
         F.col(NAME).alias("_target"),
@@ -51,7 +47,8 @@ def map_samples(
     targets = manual.join(corrected, "_target", "left")
 
     names = df.groupBy(NAME).agg(F.count("*").alias("_n")).dropna(subset=[NAME])
-    resolved = lookup_join(names.join(stations, NAME, "left"), targets, [NAME]).select(
+    found = lookup_join(names.join(stations, NAME, "left"), targets, [NAME], on_duplicate)
+    resolved = found.select(
         NAME,
         "_n",
         F.coalesce(STATION_CODE, "_code", "_manual_code").alias(STATION_CODE),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labtrail.functions import elapsed_days, first_int, triggered
-from labtrail.operators.joins import attach, fits_broadcast, lookup_join, unique_lookup
+from labtrail.operators.joins import attach, fits_broadcast, lookup_join
 
 OUT_OF_SCOPE = "Parametro fora do escopo contratado"
 OTHER_METHOD = "Metodo diferente do escopo"
@@ -84,16 +84,10 @@ def flag_scope(df: DataFrame, scope: DataFrame | None) -> DataFrame:
     if scope is None:
         unknown = F.lit(None).cast("string")
         return df.withColumns(dict.fromkeys(("metodo", "prazo", "flag_parametro_fora_escopo"), unknown))
-    agreed = unique_lookup(
-        scope.select(F.col("parametro").alias("parametroCorrigido"), "matriz", "metodo", "prazo"),
-        ["parametroCorrigido", "matriz"],
-    )
-    known = (
-        scope.select(F.col("parametro").alias("parametroCorrigido"))
-        .dropna()
-        .distinct()
-        .withColumn("_known", F.lit(True))
+    agreed = scope.select(
+        F.col("parametro").alias("parametroCorrigido"), "matriz", "metodo", "prazo"
     )
+    known = scope.select(F.col("parametro").alias("parametroCorrigido"), F.lit(True).alias("_known"))
     joined = lookup_join(
         lookup_join(df, agreed, ["parametroCorrigido", "matriz"]), known, ["parametroCorrigido"]
     )

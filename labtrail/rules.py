@@ -6,8 +6,10 @@ rules passes its own instead of editing code.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # --- fixed values: date formats, tried in this order -------------------------------------------------
@@ -134,6 +136,12 @@ class ProjectRules:
         return bool(self.soil_groups and self.groundwater_groups)
 
 
+def rule_table(spark: SparkSession, columns: Sequence[str], rows: Iterable[Sequence]) -> DataFrame:
+    """A few rows of rules as a table. It comes by Arrow, so Spark holds it as local data of known size."""
+    cells = list(zip(*rows))
+    return spark.createDataFrame(pa.table({c: list(v) for c, v in zip(columns, cells)}))
+
+
 def unit_factors(spark: SparkSession, rows=UNIT_FACTORS) -> DataFrame:
     """The conversion factors as a rule table `(unit_from, unit_to, factor)`."""
-    return spark.createDataFrame(list(rows), "unit_from string, unit_to string, factor double")
+    return rule_table(spark, ("unit_from", "unit_to", "factor"), rows)

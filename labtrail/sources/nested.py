@@ -53,13 +53,13 @@ def custody_labels(notes: Column) -> Column:
             ),
         ),
     )
-    final = F.filter(
+    return F.aggregate(
         entries,
-        lambda e, i: ~F.exists(
-            F.slice(entries, i + 2, F.size(entries)), lambda later: later["key"] == e["key"]
+        F.create_map().cast("map<string,string>"),
+        lambda seen, e: F.map_concat(
+            F.map_filter(seen, lambda k, _: k != e["key"]), F.create_map(e["key"], e["value"])
         ),
     )
-    return F.map_from_entries(final)
 
 
 def flatten_results(
