@@ -8,6 +8,7 @@ from labtrail.catalog.lab import LAB, lab
 from labtrail.catalog.registry import query, table
 from labtrail.operators.quality import (
     blank,
+    cross_checks,
     flagged,
     in_water,
     oxygen_demand,
@@ -178,9 +179,13 @@ _FLAGS = (
 
 def all_checks(spark, sf_dir):
     rows = lab_rows(spark, sf_dir, "quality_code", "quantification_limit")
-    local = blank(_surrogate(rows))
-    paired = _species(_demand(total_dissolved(local, EXCLUDED)))
-    return replica_rpd(paired, pairs_of_orders(spark, sf_dir))
+    return cross_checks(
+        blank(_surrogate(rows)),
+        EXCLUDED,
+        demand=("ECONOMY", "SMALL"),
+        species=SPECIES,
+        pairs=pairs_of_orders(spark, sf_dir),
+    )
 
 
 _EXAMINED = {
@@ -233,16 +238,13 @@ def qc_summary(spark, sf_dir):
     + " UNION ALL ".join(
         f"SELECT '{flag}' AS \"check\", sample_name, chemical_name, value, {flag} AS message"
         f" FROM checked WHERE {flag} IS NOT NULL"
-        for flag in ("flag_surrogate", "flag_totais_dissolvido", "flag_dbo_dqo", "flag_branco")
+        for flag in _FLAGS
     ),
 )
 def qc_flagged_rows(spark, sf_dir):
-    """The flagged rows of four checks as one table."""
-    flags = ("flag_surrogate", "flag_totais_dissolvido", "flag_dbo_dqo", "flag_branco")
-    rows = lab_rows(spark, sf_dir, "quality_code", "quantification_limit")
-    checked = _demand(total_dissolved(blank(_surrogate(rows)), EXCLUDED))
-    message = F.coalesce(*[F.when(F.col("check") == f, F.col(f)) for f in flags])
-    return flagged(checked, flags).select(
+    """The flagged rows of all checks as one table, once per flag."""
+    message = F.coalesce(*[F.when(F.col("check") == f, F.col(f)) for f in _FLAGS])
+    return flagged(all_checks(spark, sf_dir), _FLAGS).select(
         "check", "sample_name", "chemical_name", "value", message.alias("message")
     )
 

@@ -68,10 +68,11 @@ def attach(
     """
     on = list(on)
     wanted = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
+    info = info.dropna(subset=on)
     values = [c for c in info.columns if c not in on and c != weight]
     held = F.struct(*[F.col(f"`{c}`") for c in values])
     if weight:
-        frequent = info.dropna(subset=on).orderBy(F.desc(weight), *on).limit(HOT_KEYS)
+        frequent = info.orderBy(F.desc(weight), *on).limit(HOT_KEYS)
         hot = frequent.select(*on, held.alias("_hot"))
     else:
         counted = (
@@ -83,7 +84,7 @@ def attach(
             .agg(F.count("*").alias("_n"))
         )
         frequent = _largest(counted, on, "_n")
-        known = info.join(F.broadcast(frequent), on, "left_semi").select(*on, held.alias("_known"))
+        known = info.join(F.broadcast(frequent), on).select(*on, held.alias("_known"))
         # a frequent key without information is hot too: its struct is there, with null fields
         hot = frequent.join(F.broadcast(known), on, "left").select(
             *on, F.struct(*[F.col(f"_known.`{c}`") for c in values]).alias("_hot")
@@ -94,11 +95,14 @@ def attach(
     tagged = tagged.withColumn("_spread", F.coalesce(spread, F.lit(0)))
 
     # Keys without anything to tell need not travel. The zero is computed from the row, since a literal
-    # would be folded out of the join key and the spread with it.
+    # would be folded out of the join key and the spread with it. Both uses of `info` read the same columns,
+    # so Spark computes an aggregate behind it once.
     told = info.where(reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNotNull() for c in values]))
+    zero = F.when(F.col(weight) < 0, -1) if weight else F.when(F.col(f"`{on[0]}`").isNull(), -1)
+    zero = zero.otherwise(0)
     cold = told.select(
         *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(on)],
-        F.when(F.col(f"`{on[0]}`").isNull(), -1).otherwise(0).alias("_zero"),
+        zero.alias("_zero"),
         held.alias("_cold"),
     )
     match = reduce(

@@ -156,17 +156,15 @@ def replica_differences(df: DataFrame, pairs: DataFrame) -> DataFrame:
 
     Values are first reduced to one per sample and parameter; the pair table meets only those.
     """
-    values = df.groupBy("sample_name", "chemical_name").agg(F.min("value").alias("value"))
-    sides = values.join(
-        pairs.select(
-            F.explode(
-                F.array(
-                    F.struct(F.col("original").alias("sample_name"), "original", "replica"),
-                    F.struct(F.col("replica").alias("sample_name"), "original", "replica"),
-                )
-            ).alias("side")
-        ).select("side.*"),
-        "sample_name",
+    return _differences(
+        df.groupBy("sample_name", "chemical_name").agg(F.min("value").alias("value")), pairs
+    )
+
+
+def _differences(values: DataFrame, pairs: DataFrame) -> DataFrame:
+    sample = F.explode(F.array("original", "replica")).alias("sample_name")
+    sides = values.select("sample_name", "chemical_name", "value").join(
+        pairs.select("original", "replica", sample), "sample_name"
     )
     wide = sides.groupBy("original", "replica", "chemical_name").agg(
         F.min(F.when(F.col("sample_name") == F.col("original"), F.col("value"))).alias("value_original"),
@@ -177,15 +175,115 @@ def replica_differences(df: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def replica_rpd(df: DataFrame, pairs: DataFrame, limit: float = RPD_LIMIT) -> DataFrame:
     """Flag the rows of both samples of a pair whose values differ by more than `limit` percent."""
-    wide = replica_differences(df, pairs).where(F.col("rpd") > limit)
-    failing = (
-        wide.select(F.explode(F.array("original", "replica")).alias("sample_name"), "chemical_name")
-        .distinct()
-        .withColumn("flag_rpd", F.lit(f"RPD > {limit:g}%"))
-    )
+    values = df.groupBy("sample_name", "chemical_name").agg(F.min("value").alias("value"))
+    failing = _failing_replicas(values, pairs, limit).withColumn("flag_rpd", F.lit(f"RPD > {limit:g}%"))
     return attach(df, failing, ["sample_name", "chemical_name"])
 
 
+def _failing_replicas(values: DataFrame, pairs: DataFrame, limit: float) -> DataFrame:
+    """(sample, parameter) of both sides of every pair that differs too much."""
+    side = F.explode(F.array("original", "replica")).alias("sample_name")
+    wide = _differences(values, pairs).where(F.col("rpd") > limit)
+    return wide.select(side, "chemical_name").distinct()
+
+
+def sample_verdicts(
+    df: DataFrame,
+    excluded_samples: Sequence[str] = (),
+    demand: tuple[str, str] = ("DBO", "DQO"),
+    species: Mapping[str, str] = CHROMIUM,
+    rules: Sequence[tuple[str, str, str]] = CHROMIUM_RULES,
+    pairs: DataFrame | None = None,
+    limit: float = RPD_LIMIT,
+) -> DataFrame:
+    """What the cross-row checks say about each sample, and the rows behind it (`rows`).
+
+    All checks compare values of one sample, so they share one chain of aggregates: per parameter, per
+    parameter without its fraction, per sample. Each combines before its shuffle. Failing fractions and
+    replicas are listed by name, at most once per parameter.
+    """
+    part, whole = demand
+    chemical, low, high = F.col("chemical_name"), F.col("low"), F.col("high")
+    kept = ~F.col("sample_name").isin(*excluded_samples) if excluded_samples else F.lit(True)
+    fraction = kept & ~chemical.rlike("(?i)cromo")
+    value, water = F.col("value"), in_water()
+
+    per_parameter = df.groupBy("sample_name", "chemical_name").agg(
+        F.min(F.when(water, value)).alias("low"),
+        F.max(F.when(water, value)).alias("high"),
+        F.count("*").alias("rows"),
+    )
+    per_base = per_parameter.groupBy("sample_name", base_parameter(chemical).alias("base")).agg(
+        F.max(F.when(fraction & chemical.rlike("(?i)dissolvido"), high)).alias("_dissolved"),
+        F.min(F.when(fraction & chemical.rlike("(?i)total"), low)).alias("_total"),
+        F.max(F.when(chemical.rlike(f"(?i)^{part}"), high)).alias("_part"),
+        F.min(F.when(chemical.rlike(f"(?i)^{whole}"), low)).alias("_whole"),
+        *[F.min(F.when(kept & (_name() == n), low)).alias(f"_s_{s}") for s, n in species.items()],
+        F.sum("rows").alias("rows"),
+    )
+    replica = F.lit(None).cast("string").alias("replica")
+    evidence = per_base.withColumn("replica", replica)
+    if pairs is not None:
+        lowest = df.groupBy("sample_name", "chemical_name").agg(F.min("value").alias("value"))
+        differing = _failing_replicas(lowest, pairs, limit)
+        evidence = evidence.unionByName(
+            differing.withColumnRenamed("chemical_name", "replica"), allowMissingColumns=True
+        )
+    per_sample = evidence.groupBy("sample_name").agg(
+        F.collect_set(F.when(F.col("_dissolved") > F.col("_total"), F.col("base"))).alias("bases"),
+        F.collect_set("replica").alias("replicas"),
+        F.max("_part").alias("_part"),
+        F.min("_whole").alias("_whole"),
+        *[F.min(f"_s_{s}").alias(f"_s_{s}") for s in species],
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+    )
+    too_much = exceeds(F.col("_part"), F.col("_whole"))
+    broken = [(F.col(f"_s_{a}") > F.col(f"_s_{b}"), m) for a, b, m in rules]
+    return per_sample.select(
+        "sample_name",
+        F.when(F.size("bases") > 0, F.col("bases")).alias("bases"),
+        F.when(F.size("replicas") > 0, F.col("replicas")).alias("replicas"),
+        F.when(too_much, F.lit(f"{part} maior que {whole}")).alias("demand"),
+        join_messages(*broken).alias("species"),
+        "rows",
+    )
+
+
+def cross_checks(
+    df: DataFrame,
+    excluded_samples: Sequence[str] = (),
+    demand: tuple[str, str] = ("DBO", "DQO"),
+    species: Mapping[str, str] = CHROMIUM,
+    rules: Sequence[tuple[str, str, str]] = CHROMIUM_RULES,
+    pairs: DataFrame | None = None,
+    limit: float = RPD_LIMIT,
+    mode: str = "pair",
+) -> DataFrame:
+    """`total_dissolved`, `oxygen_demand`, `species_check` and `replica_rpd` together.
+
+    The same flags as the four checks one after another, for one shuffle of the rows instead of four: the
+    verdicts are joined into one row per failing sample and attached once.
+    """
+    verdicts = sample_verdicts(df, excluded_samples, demand, species, rules, pairs, limit)
+    chemical = F.col("chemical_name")
+    water, kept = in_water(), in_water(excluded_samples)
+    fraction = kept & ~chemical.rlike("(?i)cromo") & chemical.rlike("(?i)total|dissolvido")
+    measured = water & chemical.rlike(f"(?i)^({'|'.join(demand)})")
+    if mode == "rows":
+        fraction = measured = F.lit(True)
+    told = attach(df, verdicts, ["sample_name"], weight="rows")
+    flags = {
+        "flag_totais_dissolvido": F.when(
+            fraction & F.array_contains("bases", base_parameter(chemical)),
+            F.lit("Dissolvido maior que Total"),
+        ),
+        "flag_dbo_dqo": F.when(measured, F.col("demand")),
+        "flag_cromo": F.when(_name().isin(*species.values()), F.col("species")),
+        "flag_rpd": F.when(F.array_contains("replicas", chemical), F.lit(f"RPD > {limit:g}%")),
+    }
+    return told.withColumns(flags).drop("demand", "species", "bases", "replicas")
+
+
 def summary(df: DataFrame, checks: Mapping[str, tuple[str, Column]]) -> DataFrame:
     """Rows examined, rows flagged and status per check, in one pass.
 

@@ -167,9 +167,9 @@ def coverage(df: DataFrame, planned: DataFrame) -> DataFrame:
     return joined.select(
         *SAMPLE,
         "delivered",
-        F.array_sort("outside").alias("outside"),
-        F.array_sort(F.array_except(expected, "delivered")).alias("missing"),
-        F.array_sort(F.array_except("delivered", expected)).alias("extra"),
+        F.sort_array("outside").alias("outside"),
+        F.sort_array(F.array_except(expected, "delivered")).alias("missing"),
+        F.sort_array(F.array_except("delivered", expected)).alias("extra"),
     )
 
 

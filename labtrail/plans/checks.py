@@ -7,13 +7,10 @@ from pyspark.sql import functions as F
 
 from labtrail.operators.quality import (
     blank,
+    cross_checks,
     in_water,
-    oxygen_demand,
-    replica_rpd,
-    species_check,
     summary,
     surrogate,
-    total_dissolved,
 )
 from labtrail.rules import BLANK_CODES, CHROMIUM, ProjectRules
 
@@ -32,18 +29,13 @@ def quality_checks(
 ) -> DataFrame:
     """All checks; every one adds a flag column and none changes the number of rows.
 
-    pairs: (original, replica) sample names; without it the replica check is left out.
+    pairs: (original, replica) sample names; without it the replica flag stays null.
     """
-    checked = (
+    return (
         df.transform(surrogate, rules.surrogates)
         .transform(blank)
-        .transform(total_dissolved, rules.excluded_samples, mode)
-        .transform(oxygen_demand, mode=mode)
-        .transform(species_check, excluded_samples=rules.excluded_samples)
+        .transform(cross_checks, rules.excluded_samples, pairs=pairs, mode=mode)
     )
-    if pairs is None:
-        return checked.withColumn("flag_rpd", F.lit(None).cast("string"))
-    return checked.transform(replica_rpd, pairs)
 
 
 def examined(rules: ProjectRules) -> dict[str, tuple[str, Column]]:
