@@ -15,9 +15,12 @@ HOT_KEYS = 1_000
 HOT_SAMPLE = 0.01
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Count up to `max_rows` + 1 rows of a rule table (one small job) to know whether to broadcast it."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether a rule table is small enough to broadcast: fetches a 1 for up to `BROADCAST_ROWS` + 1 rows.
+
+    A limited fetch reads partitions until it has enough, and none at all of a table Spark holds locally.
+    """
+    return len(df.select(F.lit(1)).limit(BROADCAST_ROWS + 1).collect()) <= BROADCAST_ROWS
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -120,15 +123,14 @@ def lookup_join(
 ) -> DataFrame:
     """Left-join a lookup, one row per key at most: by broadcast when it is small, else with `attach`.
 
-    One small job looks at up to `BROADCAST_ROWS` + 1 rows of the lookup for its size and for repeated
-    keys; a lookup that turns out unique is used as it is.
+    The keys of up to `BROADCAST_ROWS` + 1 rows are fetched to see its size and repeated keys; a small
+    lookup that turns out unique is used as it is.
     """
     known = lookup.dropna(subset=list(on))
-    size, keys = (
-        known.limit(BROADCAST_ROWS + 1).agg(F.count("*"), F.count_distinct(*on)).first()
-    )
-    small = size <= BROADCAST_ROWS
-    unique = known if small and size == keys else unique_lookup(known, on, on_duplicate)
+    keys = known.select(*on).limit(BROADCAST_ROWS + 1).collect()
+    small = len(keys) <= BROADCAST_ROWS
+    is_unique = small and len(set(keys)) == len(keys)
+    unique = known if is_unique else unique_lookup(known, on, on_duplicate)
     if small:
         return rows.join(F.broadcast(unique), list(on), "left")
     return attach(rows, unique, on)

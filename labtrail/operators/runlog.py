@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timezone
 
@@ -87,11 +88,21 @@ def step_rows(
     return spark.createDataFrame([tuple(r[f] for f in LOG.fieldNames()) for r in rows], LOG)
 
 
-def append_log(log: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append to the log table; one folder per project, so that reading one project skips the others."""
-    log.coalesce(1).write.format(fmt).mode("append").option("mergeSchema", "true").partitionBy(
-        "projeto"
-    ).save(path)
+def append_log(log: DataFrame, path: str, fmt: str = "parquet", strict: bool = False) -> bool:
+    """Append to the log table; one folder per project, so that reading one project skips the others.
+
+    A run is not lost for its log: unless `strict`, a failure is a warning and the answer False.
+    """
+    try:
+        log.coalesce(1).write.format(fmt).mode("append").option("mergeSchema", "true").partitionBy(
+            "projeto"
+        ).save(path)
+    except Exception as error:
+        if strict:
+            raise
+        warnings.warn(f"run log not written to {path}: {error}", stacklevel=2)
+        return False
+    return True
 
 
 def read_log(spark: SparkSession, path: str, project: str, fmt: str = "parquet") -> DataFrame:

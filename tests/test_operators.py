@@ -319,6 +319,8 @@ def test_log(spark, tmp_path, rows):
     runlog.append_log(runlog.step_rows(spark, second, "Q", "clean", "2026-01-08"), path)
     log = runlog.read_log(spark, path, "P")
     assert log.count() == 9
+    with pytest.warns(UserWarning, match="not written"):
+        assert not runlog.append_log(log, path, fmt="no-such-format")
     card = runlog.delivery_summary(log, "src_20260823_20260830_20260831_0700").first().asDict()
     assert card == {
         "projeto": "P", "mapeamento_status": "Sucesso", "mapeamento_detalhe": "", "qtd_amostras": 3, "qtd_resultados": 7,
