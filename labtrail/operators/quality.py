@@ -26,6 +26,15 @@ def _name() -> Column:
     return F.trim("chemical_name")
 
 
+def mentions(word: str) -> Column:
+    """The parameter name holds the word, whatever its case."""
+    return F.contains(F.lower("chemical_name"), F.lit(word.lower()))
+
+
+def begins(word: str) -> Column:
+    return F.startswith(F.lower("chemical_name"), F.lit(word.lower()))
+
+
 def surrogate(
     df: DataFrame,
     names: Sequence[str] = SURROGATES,
@@ -85,13 +94,13 @@ def pair_order_check(
 
 def total_dissolved(df: DataFrame, excluded_samples: Sequence[str] = (), mode: str = "pair") -> DataFrame:
     """The dissolved fraction must not exceed the total of the same sample and parameter."""
-    eligible = in_water(excluded_samples) & ~F.col("chemical_name").rlike("(?i)cromo")
+    eligible = in_water(excluded_samples) & ~mentions("cromo")
     return pair_order_check(
         df,
         "flag_totais_dissolvido",
         "Dissolvido maior que Total",
-        part=eligible & F.col("chemical_name").rlike("(?i)dissolvido"),
-        whole=eligible & F.col("chemical_name").rlike("(?i)total"),
+        part=eligible & mentions("dissolvido"),
+        whole=eligible & mentions("total"),
         keys={"sample": F.col("sample_name"), "base": base_parameter(F.col("chemical_name"))},
         mode=mode,
     )
@@ -110,8 +119,8 @@ def oxygen_demand(
         df,
         "flag_dbo_dqo",
         f"{part} maior que {whole}",
-        part=eligible & F.col("chemical_name").rlike(f"(?i)^{part}"),
-        whole=eligible & F.col("chemical_name").rlike(f"(?i)^{whole}"),
+        part=eligible & begins(part),
+        whole=eligible & begins(whole),
         keys={"sample": F.col("sample_name")},
         mode=mode,
     )
@@ -205,7 +214,7 @@ def sample_verdicts(
     part, whole = demand
     chemical, low, high = F.col("chemical_name"), F.col("low"), F.col("high")
     kept = ~F.col("sample_name").isin(*excluded_samples) if excluded_samples else F.lit(True)
-    fraction = kept & ~chemical.rlike("(?i)cromo")
+    fraction = kept & ~mentions("cromo")
     value, water = F.col("value"), in_water()
 
     per_parameter = df.groupBy("sample_name", "chemical_name").agg(
@@ -214,10 +223,10 @@ def sample_verdicts(
         F.count("*").alias("rows"),
     )
     per_base = per_parameter.groupBy("sample_name", base_parameter(chemical).alias("base")).agg(
-        F.max(F.when(fraction & chemical.rlike("(?i)dissolvido"), high)).alias("_dissolved"),
-        F.min(F.when(fraction & chemical.rlike("(?i)total"), low)).alias("_total"),
-        F.max(F.when(chemical.rlike(f"(?i)^{part}"), high)).alias("_part"),
-        F.min(F.when(chemical.rlike(f"(?i)^{whole}"), low)).alias("_whole"),
+        F.max(F.when(fraction & mentions("dissolvido"), high)).alias("_dissolved"),
+        F.min(F.when(fraction & mentions("total"), low)).alias("_total"),
+        F.max(F.when(begins(part), high)).alias("_part"),
+        F.min(F.when(begins(whole), low)).alias("_whole"),
         *[F.min(F.when(kept & (_name() == n), low)).alias(f"_s_{s}") for s, n in species.items()],
         F.sum("rows").alias("rows"),
     )
@@ -267,8 +276,8 @@ def cross_checks(
     verdicts = sample_verdicts(df, excluded_samples, demand, species, rules, pairs, limit)
     chemical = F.col("chemical_name")
     water, kept = in_water(), in_water(excluded_samples)
-    fraction = kept & ~chemical.rlike("(?i)cromo") & chemical.rlike("(?i)total|dissolvido")
-    measured = water & chemical.rlike(f"(?i)^({'|'.join(demand)})")
+    fraction = kept & ~mentions("cromo") & (mentions("total") | mentions("dissolvido"))
+    measured = water & (begins(demand[0]) | begins(demand[1]))
     if mode == "rows":
         fraction = measured = F.lit(True)
     told = attach(df, verdicts, ["sample_name"], weight="rows")
