@@ -29,7 +29,7 @@ from labtrail.llm.common import positions, query, staged, table
 CAPACITY = 4096
 END = 1
 TOKENIZER = "word_bpe_49k.json"
-CACHED_WORDS = 500_000
+CACHED_WORDS = 400_000
 
 
 # ---------------------------------------------------------------- tokens
@@ -39,24 +39,55 @@ class WordTokens(dict):
     """Token ids of single words, as little-endian unsigned 32-bit numbers, each worked out once.
 
     For tokenizers that drop white space and never join across it: then the ids of a text are the ids of its
-    words in order. The cache starts anew when it holds `most` words, which bounds its memory and nothing else.
+    words in order. A word of plain characters falls apart into letter runs, digits and the rest in one known
+    way, and the parts, which far fewer words are made of, go to the tokenizer's model and are kept as well.
+    Any other word goes to the tokenizer whole. A cache that holds `most` entries is set aside and a new one
+    filled, first from the one set aside; that bounds the memory and nothing else.
     """
 
     # Words of these characters need no Unicode composition, and their lower case is one character each.
     PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+    # How the tokenizer word_bpe_49k splits words, for plain characters in lower case.
+    PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
     def __init__(self, path: str, most: int = CACHED_WORDS):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         super().__init__({"": b""})
         self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
         self.most = most
+        self.before: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.parts_before: dict[str, bytes] = {}
+        # how the model's vocabulary spells each byte of a plain character
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelled = {c: spell(chr(c))[0][0] for c in range(0xC0, 0x100)}
+
+    def _part(self, part: str) -> bytes:
+        ids = self.parts.get(part)
+        if ids is None:
+            ids = self.parts_before.get(part)
+            if ids is None:
+                spelled = part if part.isascii() else part.translate(self.spelled)
+                ids = b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(spelled)])
+            if len(part) <= 64:
+                if len(self.parts) >= self.most:
+                    self.parts_before, self.parts = self.parts, {}
+                self.parts[part] = ids
+        return ids
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.whole.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        ids = self.before.get(word)
+        if ids is not None:
+            pass
+        elif "<|" not in word and self.PLAIN.fullmatch(word):
+            ids = b"".join(map(self._part, self.PARTS.findall(word.lower())))
+        else:
+            ids = np.array(self.whole.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if len(word) <= 64:
             if len(self) >= self.most:
+                self.before = dict(self)
                 self.clear()
                 self[""] = b""
             self[word] = ids
