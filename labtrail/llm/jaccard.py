@@ -34,6 +34,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from labtrail.llm.common import components, query, staged, table
 
@@ -290,7 +291,7 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         F.col(text).alias("__text"),
     )
     schema = read.drop("__text").schema.add("n", "long").add("mark", "string")
-    schema = schema.add("bands", "array<bigint>").add("values", "binary")
+    schema = schema.add("bands", ArrayType(LongType())).add("values", "binary")
     rows = staged(read.mapInArrow(_sketch, schema), "sketches")
 
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "at"))
