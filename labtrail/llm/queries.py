@@ -1,7 +1,7 @@
 """All queries of this package; importing the modules registers them."""
 
 import corpus_pipeline  # noqa: F401
-from labtrail.llm import exact, jaccard, mixing, packing, quality, rules, toxicity  # noqa: F401
+from labtrail.llm import exact, jaccard, mixing, packing, pii, quality, rules, toxicity, urls  # noqa: F401
 from labtrail.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
