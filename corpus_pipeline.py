@@ -1,6 +1,56 @@
-"""Five stages that turn `documents` into packed training sequences."""
+"""Five stages that turn `documents` into packed training sequences.
+
+Each stage takes what the one before kept, all of it, and hands on documents with the columns of the table; the
+last one returns the packed pieces. No stage can be written in SQL as a whole, so there is none for run().
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from labtrail.llm import exact, jaccard, mixing, packing, quality
+from labtrail.llm.common import query, staged, table
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents the quality classifier does not reject."""
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.classify(docs, model, keep_text=True).where("predicted = 1").select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each group of equal texts."""
+    return exact.exact_groups(docs).where("kept").select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    return jaccard.near_groups(docs).where("kept").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    return mixing.emit(mixing.mix(docs)).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of token sequences with their places."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality classifier", keep_good),
+    ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
 ORACLE_SQL = None
+
+
+@query("pipeline", ORACLE_SQL)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -71,16 +71,23 @@ def mix(
         F.struct(*columns).alias("__row"),
         F.col(source).alias("source"),
         F.col(doc_id).alias("__id"),
+        F.monotonically_increasing_id().alias("__at"),
         (word_count(F.col(text)) if size is None else size.cast("long")).alias("size"),
     )
-    goals = staged(targets(sized.select("source", "size"), weights, limit), "targets")
-    placed = positions(sized, ["source"], ["size", "__id"], "__place")
+    # Written with their numbers, so that places are worked out on narrow rows and joined back.
+    sized = staged(sized, "sized")
+    narrow = sized.drop("__row")
+    goals = staged(targets(narrow.select("source", "size"), weights, limit), "targets")
     goals = goals.withColumnRenamed("source", "__source")
+    placed = positions(narrow, ["source"], ["size", "__id"], "__place")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     start = offset(F.col("source"), seed)
     copies = F.floor(start + rate * (F.col("__place") + 1)) - F.floor(start + rate * F.col("__place"))
-    return placed.join(goals, F.col("source").eqNullSafe(F.col("__source"))).select(
-        "__row.*", "size", "source_size", "target", copies.cast("int").alias("copies")
+    counted = placed.join(goals, F.col("source").eqNullSafe(F.col("__source"))).select(
+        "__at", "size", "source_size", "target", copies.cast("int").alias("copies")
+    )
+    return sized.select("__at", "__row").join(counted, "__at").select(
+        "__row.*", "size", "source_size", "target", "copies"
     )
 
 
@@ -123,8 +130,7 @@ FROM placed
 @query("op4_mixing", OP4_SQL)
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    sizes = staged(docs.select("doc_id", "source", word_count(F.col("text")).alias("words")), "sizes")
-    mixed = mix(sizes, F.col("words"))
+    mixed = mix(docs.select("doc_id", "source", word_count(F.col("text")).alias("words")), F.col("words"))
     return mixed.select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken")
     )

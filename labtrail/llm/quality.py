@@ -33,11 +33,11 @@ FEATURES = (
 )
 
 
-def features(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The columns of `docs` but the text as `__row`, and one column `__f` with the features in order."""
+def features(docs: DataFrame, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """The columns of `docs` (but the text, unless kept) as `__row`, and `__f` with the features in order."""
     body = F.coalesce(F.col(text), F.lit(""))
     counted = docs.select(
-        F.struct(*[c for c in docs.columns if c != text], F.lit(None).cast("string").alias("__none")).alias("__row"),
+        F.struct(*[c for c in docs.columns if keep_text or c != text], F.lit(None).cast("string").alias("__none")).alias("__row"),
         words_of(body).alias("w"),
         F.filter(F.split(body, "\n"), lambda x: x != "").alias("l"),
         *(
@@ -190,10 +190,11 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = TRAIN_ROWS_P
     return fit(x, np.array(got.column("__label").to_pylist(), dtype=float))
 
 
-def classify(docs: DataFrame, model: Additive, threshold: float = THRESHOLD) -> DataFrame:
-    """Columns of `docs` less the text, with score and predicted."""
+def classify(docs: DataFrame, model: Additive, threshold: float = THRESHOLD, keep_text: bool = False) -> DataFrame:
+    """Columns of `docs` (but the text, unless kept) with score and predicted."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = features(docs).drop("__f").schema.add("score", "double")
+    read = features(docs, keep_text=keep_text)
+    schema = read.drop("__f").schema.add("score", "double")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,8 +203,8 @@ def classify(docs: DataFrame, model: Additive, threshold: float = THRESHOLD) ->
                 [batch.column(0), pa.array(shared.value.score(x))], names=["__row", "score"]
             )
 
-    rows = features(docs).mapInArrow(score, schema)
-    others = [c for c in docs.columns if c.lower() not in ("text", "score", "predicted")]
+    rows = read.mapInArrow(score, schema)
+    others = [c for c in docs.columns if c.lower() not in ("score", "predicted") and (keep_text or c != "text")]
     return rows.select(
         *[F.col("__row").getField(c).alias(c) for c in others],
         "score",
