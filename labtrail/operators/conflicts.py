@@ -7,30 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labtrail.operators.joins import attach
-
 SAMPLE_PARAMETER = ("nomeAmostra", "parametroOriginal")
 
 
-def _spans(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Smallest and largest result per key: they differ exactly when there are several.
-
-    Both combine before the shuffle, so a key with very many rows costs no more than any other.
-    """
-    return df.groupBy(*keys).agg(
-        F.min(value).alias("_low"), F.max(value).alias("_high"), F.count("*").alias("_n")
-    )
-
-
 def exclude_conflicts(
     df: DataFrame, keys: Sequence[str] = SAMPLE_PARAMETER, value: str = "resultadoOriginal"
 ) -> DataFrame:
-    """Drop all rows of a key that has different results. Rows with a null key stay."""
-    spans = _spans(df, keys, value).select(
-        *keys, "_n", F.when(F.col("_low") != F.col("_high"), F.lit(True)).alias("_conflict")
-    )
-    marked = attach(df, spans, keys, weight="_n")
-    return marked.where(F.col("_conflict").isNull()).drop("_conflict")
+    """Drop all rows of a key that has different results. Rows with a null key stay.
+
+    The smallest and the largest result of a key differ exactly when there are several. Only the
+    conflicting keys are joined, and a hot key's rows are split by adaptive skew handling.
+    """
+    conflicts = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high")).where("_low <> _high")
+    return df.join(conflicts.select(*keys), list(keys), "left_anti")
 
 
 def conflict_report(

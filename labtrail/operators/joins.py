@@ -8,19 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A rule table of this many short rows is some 20 MB, well within an executor.
-BROADCAST_ROWS = 100_000
-# A key outside the largest HOT_KEYS holds less than 1/HOT_KEYS of the rows.
-HOT_KEYS = 1_000
-HOT_SAMPLE = 0.01
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether a rule table is small enough to broadcast: fetches a 1 for up to `BROADCAST_ROWS` + 1 rows.
-
-    A limited fetch reads partitions until it has enough, and none at all of a table Spark holds locally.
-    """
-    return len(df.select(F.lit(1)).limit(BROADCAST_ROWS + 1).collect()) <= BROADCAST_ROWS
+# Rows of a hot key go to this many times as many places as they have even shares.
+FINENESS = 4
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,8 +36,9 @@ def unique_lookup(df: DataFrame, keys: Sequence[str], on_duplicate: str = "first
     return known.groupBy(*keys).agg(kept).select(*keys, "_kept.*")
 
 
-def _largest(df: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
-    return df.orderBy(F.desc(weight), *keys).limit(HOT_KEYS).select(*keys)
+def _row_hash(rows: DataFrame) -> Column:
+    """A hash of the whole row; maps cannot be hashed and are left out."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in rows.schema if "map<" not in f.dataType.simpleString()])
 
 
 def attach(
@@ -60,77 +50,54 @@ def attach(
 ) -> DataFrame:
     """Left-join `info` (at most one row per key) to `rows` when neither side is known to be small.
 
-    The rows of the most frequent keys get their information from a broadcast of at most `HOT_KEYS` rows
-    and are then spread evenly over the shuffle; only the other keys have to meet by hash. So no key,
-    however frequent, gathers in one task, and every row still sees all of `info`.
+    A key with more than an even share of all rows (1 / shuffle partitions) is hot. Its rows are spread by a
+    hash of the row over a number of places that follows from the key's own count, and its information goes
+    to each of them. There are fewer hot keys than shuffle partitions, whatever the data, and their information
+    is copied a few times that number in all: that bounds the broadcast list of hot keys as well. All other
+    keys meet by hash. This holds too when the rows already lie together by the key. Every row sees all of
+    `info`, whichever way it goes.
 
     weight: a column of `info` that counts the rows behind each key, when `info` covers all of them.
-            Without it the frequent keys are found on a sample of `rows`; a key missed there is merely
-            joined the ordinary way.
+            Without it the keys of `rows` are counted, which combines before its shuffle.
     only:   rows that need the information; the others get nulls and are spread too.
     """
     on = list(on)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
     info = info.dropna(subset=on)
     values = [c for c in info.columns if c not in on and c != weight]
-    held = F.struct(*[F.col(f"`{c}`") for c in values])
     if weight:
-        frequent = info.orderBy(F.desc(weight), *on).limit(HOT_KEYS)
-        hot = frequent.select(*on, held.alias("_hot"))
+        counted = info.select(*on, F.col(f"`{weight}`").alias("_n"))
     else:
-        counted = (
-            rows.where(wanted)
-            .select(*on)
-            .sample(fraction=HOT_SAMPLE, seed=17)
-            .dropna()
-            .groupBy(*on)
-            .agg(F.count("*").alias("_n"))
-        )
-        frequent = _largest(counted, on, "_n")
-        known = info.join(F.broadcast(frequent), on).select(*on, held.alias("_known"))
-        # a frequent key without information is hot too: its struct is there, with null fields
-        hot = frequent.join(F.broadcast(known), on, "left").select(
-            *on, F.struct(*[F.col(f"_known.`{c}`") for c in values]).alias("_hot")
-        )
-    tagged = rows.join(F.broadcast(hot), on, "left")
+        counted = rows.where(wanted).dropna(subset=on).groupBy(*on).agg(F.count("*").alias("_n"))
+    total = counted.agg(F.sum("_n")).scalar()
+    share = F.col("_n") * parts / total
+    hot = counted.where(share > 1).select(*on, F.ceil(FINENESS * share).alias("_places"))
+
     keyless = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in on])
-    spread = F.when(F.col("_hot").isNotNull() | keyless | ~wanted, 1 + F.spark_partition_id())
-    tagged = tagged.withColumn("_spread", F.coalesce(spread, F.lit(0)))
+    place = (
+        F.when(keyless | ~wanted, -1 - F.pmod(_row_hash(rows), F.lit(FINENESS * parts)))
+        .when(F.col("_places").isNotNull(), F.pmod(_row_hash(rows), F.col("_places")))
+        .otherwise(0)
+    )
+    dealt = rows.join(F.broadcast(hot), on, "left").withColumn("_place", place).drop("_places")
 
-    # Keys without anything to tell need not travel. The zero is computed from the row, since a literal
-    # would be folded out of the join key and the spread with it. Both uses of `info` read the same columns,
-    # so Spark computes an aggregate behind it once.
+    # Keys without anything to tell need not travel.
     told = info.where(reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNotNull() for c in values]))
-    zero = F.when(F.col(weight) < 0, -1) if weight else F.when(F.col(f"`{on[0]}`").isNull(), -1)
-    zero = zero.otherwise(0)
-    cold = told.select(
-        *[F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(on)],
-        zero.alias("_zero"),
-        held.alias("_cold"),
-    )
-    match = reduce(
-        lambda a, b: a & b, [F.col(f"`{k}`") == F.col(f"_k{i}") for i, k in enumerate(on)]
+    copied = told.join(F.broadcast(hot), on, "left").select(
+        *[F.col(f"`{c}`") for c in (*on, *values)],
+        F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_places", F.lit(1)) - 1)).alias("_place"),
     )
-    joined = tagged.join(cold, match & (F.col("_spread") == F.col("_zero")), "left")
-    got = [
-        F.when(wanted, F.coalesce(F.col(f"_hot.`{c}`"), F.col(f"_cold.`{c}`"))).alias(c) for c in values
-    ]
-    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], *got)
+    joined = dealt.join(copied, [*on, "_place"], "left")
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col(f"`{c}`") for c in values])
 
 
 def lookup_join(
     rows: DataFrame, lookup: DataFrame, on: Sequence[str], on_duplicate: str = "first"
 ) -> DataFrame:
-    """Left-join a lookup, one row per key at most: by broadcast when it is small, else with `attach`.
+    """Left-join a lookup, one row per key at most.
 
-    The keys of up to `BROADCAST_ROWS` + 1 rows are fetched to see its size and repeated keys; a small
-    lookup that turns out unique is used as it is.
+    No hint: Spark broadcasts a lookup whose size in bytes allows it, and splits hot keys of any other
+    (adaptive skew handling).
     """
-    known = lookup.dropna(subset=list(on))
-    keys = known.select(*on).limit(BROADCAST_ROWS + 1).collect()
-    small = len(keys) <= BROADCAST_ROWS
-    is_unique = small and len(set(keys)) == len(keys)
-    unique = known if is_unique else unique_lookup(known, on, on_duplicate)
-    if small:
-        return rows.join(F.broadcast(unique), list(on), "left")
-    return attach(rows, unique, on)
+    return rows.join(unique_lookup(lookup, on, on_duplicate), list(on), "left")

@@ -184,9 +184,10 @@ def _differences(values: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def replica_rpd(df: DataFrame, pairs: DataFrame, limit: float = RPD_LIMIT) -> DataFrame:
     """Flag the rows of both samples of a pair whose values differ by more than `limit` percent."""
-    values = df.groupBy("sample_name", "chemical_name").agg(F.min("value").alias("value"))
+    keys = ["sample_name", "chemical_name"]
+    values = df.groupBy(*keys).agg(F.min("value").alias("value"), F.count("*").alias("_n"))
     failing = _failing_replicas(values, pairs, limit).withColumn("flag_rpd", F.lit(f"RPD > {limit:g}%"))
-    return attach(df, failing, ["sample_name", "chemical_name"])
+    return attach(df, values.drop("value").join(failing, keys, "left"), keys, weight="_n")
 
 
 def _failing_replicas(values: DataFrame, pairs: DataFrame, limit: float) -> DataFrame:
@@ -220,6 +221,7 @@ def sample_verdicts(
     per_parameter = df.groupBy("sample_name", "chemical_name").agg(
         F.min(F.when(water, value)).alias("low"),
         F.max(F.when(water, value)).alias("high"),
+        F.min(value).alias("value"),
         F.count("*").alias("rows"),
     )
     per_base = per_parameter.groupBy("sample_name", base_parameter(chemical).alias("base")).agg(
@@ -233,8 +235,7 @@ def sample_verdicts(
     replica = F.lit(None).cast("string").alias("replica")
     evidence = per_base.withColumn("replica", replica)
     if pairs is not None:
-        lowest = df.groupBy("sample_name", "chemical_name").agg(F.min("value").alias("value"))
-        differing = _failing_replicas(lowest, pairs, limit)
+        differing = _failing_replicas(per_parameter, pairs, limit)
         evidence = evidence.unionByName(
             differing.withColumnRenamed("chemical_name", "replica"), allowMissingColumns=True
         )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labtrail.functions import elapsed_days, first_int, triggered
-from labtrail.operators.joins import attach, fits_broadcast, lookup_join
+from labtrail.operators.joins import lookup_join
 
 OUT_OF_SCOPE = "Parametro fora do escopo contratado"
 OTHER_METHOD = "Metodo diferente do escopo"
@@ -54,8 +54,6 @@ def planned_parameters(plan: DataFrame, scope: DataFrame) -> DataFrame:
         F.col("matriz").alias("Matriz"),
         F.col("parametro").alias("Parametro"),
     )
-    if fits_broadcast(contracted):
-        contracted = F.broadcast(contracted)
     return plan.join(contracted, ["Planejamento", "Matriz"], "left").select(
         "Station", "Matriz", "totalAmostrasPlanejado", "Planejamento", "Parametro"
     )
@@ -74,29 +72,44 @@ def _checked(message: str, failed: Column, *skips: str) -> Column:
     return F.when(~skipped & failed, F.lit(message))
 
 
-def flag_scope(df: DataFrame, scope: DataFrame | None) -> DataFrame:
+def flag_scope(df: DataFrame, scope: DataFrame | None, method: str = "metodoAnalise") -> DataFrame:
     """Add planned method and holding time, and flag parameters the scope does not know at all.
 
     Method and holding time go by (parameter, matrix), the flag by parameter alone: a parameter contracted
     for another matrix is in scope, without a planned method. A parameter contracted in several groups of
-    one matrix does not multiply rows. Without a scope all three are null.
+    one matrix does not multiply rows: a row gets the contract with its own method, the longest holding time
+    first; if none has it, one that leaves the method open; else the one with the greatest method. Without a
+    scope all three are null.
     """
     if scope is None:
         unknown = F.lit(None).cast("string")
         return df.withColumns(dict.fromkeys(("metodo", "prazo", "flag_parametro_fora_escopo"), unknown))
-    agreed = scope.select(
-        F.col("parametro").alias("parametroCorrigido"), "matriz", "metodo", "prazo"
+    contract = F.struct("metodo", first_int(F.col("prazo")).alias("days"), "prazo")
+    agreed = (
+        scope.dropna(subset=["parametro", "matriz"])
+        .groupBy(F.col("parametro").alias("parametroCorrigido"), "matriz")
+        .agg(F.sort_array(F.collect_set(contract), asc=False).alias("_contracts"))
     )
     known = scope.select(F.col("parametro").alias("parametroCorrigido"), F.lit(True).alias("_known"))
-    joined = lookup_join(
-        lookup_join(df, agreed, ["parametroCorrigido", "matriz"]), known, ["parametroCorrigido"]
+    joined = lookup_join(df.join(agreed, ["parametroCorrigido", "matriz"], "left"), known, ["parametroCorrigido"])
+    contracts, own = F.col("_contracts"), F.col(method) if method in df.columns else F.lit(None)
+    chosen = F.coalesce(
+        F.get(F.filter(contracts, lambda c: c["metodo"] == own), F.lit(0)),
+        F.get(F.filter(contracts, lambda c: own.isNotNull() & c["metodo"].isNull()), F.lit(0)),
+        F.get(contracts, F.lit(0)),
     )
     flag = _checked(OUT_OF_SCOPE, F.col("_known").isNull(), "flag_station_sem_mapeamento")
-    return joined.withColumn("flag_parametro_fora_escopo", flag).drop("_known")
+    return (
+        joined.withColumn("_chosen", chosen)
+        .withColumns(
+            {"metodo": F.col("_chosen.metodo"), "prazo": F.col("_chosen.prazo"), "flag_parametro_fora_escopo": flag}
+        )
+        .drop("_known", "_contracts", "_chosen")
+    )
 
 
 def flag_method(df: DataFrame) -> DataFrame:
-    """The analysis method differs from the planned one; unknown methods are not flagged."""
+    """No contract has the analysis method; unknown methods, analysed or contracted, are not flagged."""
     differs = F.col("metodoAnalise") != F.col("metodo")
     return df.withColumn(
         "flag_metodo",
@@ -158,11 +171,7 @@ def coverage(df: DataFrame, planned: DataFrame) -> DataFrame:
     )
     samples = delivered_sets(df)
     keys = ["Station", "Matriz"]
-    joined = (
-        samples.join(F.broadcast(plans), keys, "left")
-        if fits_broadcast(planned)
-        else attach(samples, plans, keys)
-    )
+    joined = samples.join(plans, keys, "left")
     expected = F.coalesce("planned", F.array().cast("array<string>"))
     return joined.select(
         *SAMPLE,

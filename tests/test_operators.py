@@ -18,9 +18,7 @@ def collected(df, *columns):
 
 
 @pytest.mark.parametrize("weighted", [True, False])
-def test_attach_equals_a_left_join_with_hot_and_null_keys(spark, monkeypatch, weighted):
-    monkeypatch.setattr(joins, "HOT_KEYS", 3)
-    monkeypatch.setattr(joins, "HOT_SAMPLE", 0.5)
+def test_attach_equals_a_left_join_with_hot_and_null_keys(spark, weighted):
     rng = random.Random(5)
     keys = ["hot"] * 400 + ["unknown"] * 300 + [None] * 300 + [f"k{rng.randrange(60)}" for _ in range(500)]
     left = spark.createDataFrame(
@@ -43,21 +41,27 @@ def test_attach_equals_a_left_join_with_hot_and_null_keys(spark, monkeypatch, we
     )
 
 
-def test_attach_spreads_the_hot_key(spark):
-    """No task of the join holds more than its share although one key has a third of the rows."""
+@pytest.mark.parametrize("together", [False, True])
+def test_attach_spreads_the_hot_key(spark, together):
+    """No task of the join has over twice its share of rows although one key has a third of them.
+
+    The joined column is kept, so the join cannot be dropped; `together`: the rows come out of a shuffle by key.
+    """
     rows = spark.range(60_000).select(
-        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("k")
-    ).repartition(64)
+        "id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 5000)).alias("k")
+    )
+    rows = rows.repartition(8, "k") if together else rows.repartition(64)
     info = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("k").alias("v"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        sizes = joins.attach(rows, info, ["k"], weight="n").groupBy(F.spark_partition_id()).count().collect()
+        joined = joins.attach(rows, info, ["k"], weight="n")
+        sizes = joined.groupBy(F.spark_partition_id()).agg(F.count("v").alias("n")).collect()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(r["count"] for r in sizes) == 60_000
-    assert max(r["count"] for r in sizes) < 60_000 / 8 * 1.7
+    assert sum(r["n"] for r in sizes) == 60_000 and len(sizes) == 8
+    assert max(r["n"] for r in sizes) < 2 * 60_000 / 8
 
 
 def test_unique_lookup(rows):
@@ -68,13 +72,11 @@ def test_unique_lookup(rows):
         joins.unique_lookup(df, ["k"], on_duplicate="error")
 
 
-def test_lookup_join_small_and_large_agree(rows, monkeypatch):
+def test_lookup_join_keeps_the_rows(rows):
     left = rows("k string, i int", ("a", 1), ("b", 2), ("c", 3), (None, 4), ("a", 5))
     lookup = rows("k string, v string", ("a", "x"), ("a", None), ("b", "y"))
-    small = collected(joins.lookup_join(left, lookup, ["k"]))
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 1)
-    assert collected(joins.lookup_join(left, lookup, ["k"])) == small
-    assert len(small) == 5
+    got = collected(joins.lookup_join(left, lookup, ["k"]), "i", "v")
+    assert got == [(1, "x"), (2, "y"), (3, None), (4, None), (5, "x")]
 
 
 # --- flags ---------------------------------------------------------------------------------------------

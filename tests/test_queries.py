@@ -6,6 +6,7 @@ import oracle
 import pytest
 
 import __spark_entry__ as contract
+from labtrail.catalog import QUERIES
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,7 +16,7 @@ def database():
     return oracle.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_its_sql(spark, database, name):
     df = contract.queries()[name](spark, SF_DIR)
     assert oracle.compare(df, database, contract.oracle_sql()[name]) is None
