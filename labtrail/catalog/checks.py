@@ -9,8 +9,8 @@ from labtrail.catalog.registry import query, table
 from labtrail.operators.quality import (
     blank,
     cross_checks,
+    examined,
     flagged,
-    in_water,
     oxygen_demand,
     pair_order_check,
     replica_differences,
@@ -83,10 +83,6 @@ def _result(*columns: str) -> str:
     return f"{_CHECKS} SELECT sample_name, chemical_name, matrix AS samp_matrix, {', '.join(columns)} FROM checked"
 
 
-def _flagged(flag: str, *columns: str) -> str:
-    return f"{_result(*columns, flag)} WHERE {flag} IS NOT NULL"
-
-
 def lab_rows(spark, sf_dir, *more):
     rows = lab(spark, sf_dir, "sample_name", "chemical_name", "matrix", "value", *more)
     return rows.withColumnRenamed("matrix", "samp_matrix")
@@ -139,9 +135,9 @@ def qc_pair_by_sample(spark, sf_dir):
     return _demand(lab_rows(spark, sf_dir))
 
 
-@query("qc_species", _flagged("flag_cromo", "value"))
+@query("qc_species", _result("value", "flag_cromo"))
 def qc_species(spark, sf_dir):
-    return _species(lab_rows(spark, sf_dir)).where(F.col("flag_cromo").isNotNull())
+    return _species(lab_rows(spark, sf_dir))
 
 
 @query("qc_blank", _result("quality_code", "value", "quantification_limit", "flag_branco"))
@@ -156,15 +152,23 @@ def qc_replica_rpd(spark, sf_dir):
 
 @query(
     "qc_replica_differences",
-    f"""{_CHECKS}
-    SELECT 'S-' || cast(a AS varchar) AS original, 'S-' || cast(b AS varchar) AS replica, chemical_name,
-           va AS value_original, vb AS value_replica, rpd
-    FROM rd""",
+    f"""
+    WITH {LAB},
+    v AS (SELECT sample_id, chemical_name, min(value) AS value FROM lab GROUP BY ALL),
+    sides AS (
+      SELECT o_orderkey AS a, chemical_name, value, true AS first FROM orders JOIN v ON sample_id = o_orderkey
+      UNION ALL
+      SELECT o_orderkey, chemical_name, value, false FROM orders JOIN v ON sample_id = o_orderkey + 1),
+    wide AS (
+      SELECT a, chemical_name, min(value) FILTER (first) AS va, min(value) FILTER (NOT first) AS vb FROM sides GROUP BY ALL)
+    SELECT 'S-' || cast(a AS varchar) AS original, 'S-' || cast(a + 1 AS varchar) AS replica, chemical_name,
+           va AS value_original, vb AS value_replica,
+           round(CASE WHEN va = 0 AND vb = 0 THEN 0 ELSE abs(va - vb) / ((va + vb) / 2) * 100 END, 2) AS rpd
+    FROM wide""",
 )
 def qc_replica_differences(spark, sf_dir):
-    """Pairs where both samples report the parameter."""
-    wide = replica_differences(lab_rows(spark, sf_dir), pairs_of_orders(spark, sf_dir))
-    return wide.where(F.col("rpd").isNotNull())
+    """Every parameter that at least one sample of a pair reports."""
+    return replica_differences(lab_rows(spark, sf_dir), pairs_of_orders(spark, sf_dir))
 
 
 _FLAGS = (
@@ -203,7 +207,10 @@ _EXAMINED = {
         f"{_WATER} AND sample_name NOT IN ({_EXCLUDED_SQL}) AND chemical_name IN ({_SPECIES_SQL})",
     ),
     "Branco": ("flag_branco", "quality_code IN ('BC', 'BV', 'BE')"),
-    "RPD_Replica": ("flag_rpd", "flag_rpd IS NOT NULL"),
+    "RPD_Replica": (
+        "flag_rpd",
+        "sample_id IN (SELECT unnest([o_orderkey, o_orderkey + 1]) FROM orders)",
+    ),
 }
 
 
@@ -218,18 +225,8 @@ _EXAMINED = {
 )
 def qc_summary(spark, sf_dir):
     """All six checks and their tally."""
-    name, water = F.col("chemical_name"), in_water(EXCLUDED)
-    looks_at = {
-        "Surrogate": name.isin(*LISTED),
-        "Totais_Dissolvidos": water,
-        "DBO_DQO": in_water() & name.rlike("^(ECONOMY|SMALL)"),
-        "Cromo": water & name.isin(*SPECIES.values()),
-        "Branco": F.col("quality_code").isin("BC", "BV", "BE"),
-        "RPD_Replica": F.col("flag_rpd").isNotNull(),
-    }
-    return summary(
-        all_checks(spark, sf_dir), {k: (_EXAMINED[k][0], rows) for k, rows in looks_at.items()}
-    )
+    looks_at = examined(LISTED, EXCLUDED, demand=("ECONOMY", "SMALL"), species=SPECIES)
+    return summary(all_checks(spark, sf_dir), looks_at)
 
 
 @query(

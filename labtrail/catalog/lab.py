@@ -94,6 +94,8 @@ SCOPE_ROWS = (
     ("MEDIUM", "Fase livre", "G2", "M-0", "180 dias"),
     ("STANDARD", "Agua Subterranea", "G2", "M-0", "7 dias"),
     ("LARGE", "Fase livre", "G3", "M-1", "60 dias"),
+    ("ECONOMY", "Solo", "G2", "M-1", "3 dias"),
+    ("MEDIUM", "Solo", "G1", "M-2", "20 dias"),
 )
 
 

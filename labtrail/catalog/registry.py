@@ -1,36 +1,19 @@
-"""Where queries register, and the session settings they run well under."""
+"""Where queries register. They expect a session whose time zone is UTC, and set nothing in it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-# Settings for a cluster session. Forcing skew handling lets adaptive execution split a hot join key even
-# where the grouping that follows could have reused the join's partitioning.
-SESSION = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-}
-
-
 def query(name: str, sql: str | None = None):
     """Register a query under `name`, with the SQL it has to agree with."""
 
     def register(run: Callable[[SparkSession, str], DataFrame]):
-        def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-            for key, value in SESSION.items():
-                spark.conf.set(key, value)
-            return run(spark, sf_dir)
-
-        prepared.__name__, prepared.__doc__ = run.__name__, run.__doc__
-        QUERIES[name] = prepared
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return run
@@ -38,12 +21,5 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-_schemas: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One table; its schema is read from the file footers once per process."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")

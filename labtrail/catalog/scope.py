@@ -45,7 +45,10 @@ FLAGGED = f"""
              date_diff('day', cast(sampled_at AS date), cast(received_at AS date)) AS dias,
              CASE WHEN no_station IS NULL AND parameter NOT IN (SELECT parametro FROM scope)
                   THEN 'Parametro fora do escopo contratado' END AS fora
-      FROM lab LEFT JOIN scope s ON parameter = s.parametro AND matrix = s.matriz),
+      FROM (SELECT *, row_number() OVER () AS nr FROM lab) lab
+      LEFT JOIN scope s ON parameter = s.parametro AND matrix = s.matriz
+      QUALIFY row_number() OVER (PARTITION BY nr ORDER BY coalesce(method = s.metodo, false) DESC, s.metodo DESC,
+        try_cast(nullif(regexp_extract(s.prazo, '(\\d+)', 1), '') AS integer) DESC) = 1),
     f AS (
       SELECT *, CASE WHEN no_station IS NULL AND fora IS NULL AND method <> metodo THEN 'Metodo diferente do escopo' END AS fm,
              CASE WHEN no_station IS NULL AND fora IS NULL AND dias > prazo_dias THEN 'Holding time fora do prazo' END AS fh

@@ -10,32 +10,39 @@ from pyspark.sql import functions as F
 
 
 def _shape(pattern: str) -> str:
-    """A LIKE shape every text of this date pattern has: `dd/MM/yyyy HH:mm` -> `__/__/____ __:__`.
+    """The shape of every text of this date pattern, digits as 9: `dd/MM/yyyy HH:mm` -> `99/99/9999 99:99`.
 
-    Fractions of a second may be shorter than written, so they match any length.
+    Fractions of a second may be shorter than written, so they are left out of shapes.
     """
-    bare = pattern.replace("'", "")
-    literals = "".join(re.findall(r"'([^']*)'", pattern))
-    kept = set(literals)
-    shaped = "".join(c if c in kept else "_" if c.isalpha() else c for c in bare)
-    return shaped.replace("." + "_" * 3, ".%") if "SSS" in pattern else shaped
+    out, quoted = "", False
+    for c in re.sub(r"\.S+", "", pattern):
+        if c == "'":
+            quoted = not quoted
+        else:
+            out += "9" if c.isalpha() and not quoted else c
+    return out
 
 
 def parse_timestamp(raw: Column, formats: Sequence[str]) -> Column:
     """The first format that reads the text wins; null when none does.
 
-    Each format is tried only on texts of its length and shape. A failing parse is far dearer than these
-    tests, and with several formats most attempts fail.
+    A failing parse is dear, so the shape of a text (its digits all 9, a fraction left out) is worked out once
+    and only the formats of that shape are tried. Mostly there is one.
     """
-
-    def attempt(fmt: str) -> Column:
-        shape = _shape(fmt)
-        fits = raw.like(shape)
-        if "%" not in shape:
-            fits = (F.length(raw) == len(shape)) & fits
-        return F.when(fits, F.try_to_timestamp(raw, F.lit(fmt)))
-
-    return F.coalesce(*[attempt(f) for f in formats])
+    tried: dict[str, list[str]] = {}
+    for fmt in formats:
+        tried.setdefault(_shape(fmt), []).append(fmt)
+    digits = F.translate(raw, "012345678", "999999999")
+    if any("S" in f for f in formats):
+        digits = F.regexp_replace(digits, r"\.9+", "")
+
+    def read(shape: Column) -> Column:
+        out = F.lit(None).cast("timestamp")
+        for known, some in reversed(tried.items()):
+            out = F.when(shape == known, F.coalesce(*[F.try_to_timestamp(raw, F.lit(f)) for f in some])).otherwise(out)
+        return out
+
+    return F.transform(F.array(digits), read)[0]
 
 
 def elapsed_days(later: Column, earlier: Column) -> Column:

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# White space at the ends of a cell, the non-breaking and typographic kinds included.
-BLANKS = (
-    " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
-    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-)
+from labtrail.functions.text import BLANKS
+
 _QUALIFIED = r"(?U)^[<>]\s*[^\n]+$"
 _NUMBER = r"(?U)^(?:[<>]\s*)?(-?[0-9]+(?:[.,][0-9]+)?)$"
 

@@ -7,6 +7,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# White space at the ends of a cell, the non-breaking and typographic kinds included.
+BLANKS = (
+    " \t\n\x0b\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def clean_sample_name(raw: Column) -> Column:
     """Underscore to hyphen, point to comma, white space out, and the `-Terc` marker out.
@@ -46,4 +52,4 @@ def first_int(text: Column) -> Column:
 
 def custody_label(label: Column) -> Column:
     """A custody label as a column-safe name: blanks, slashes and hyphens to `_`, colons out."""
-    return F.concat(F.lit("CC_"), F.translate(F.trim(F.coalesce(label, F.lit(""))), " /-:", "___"))
+    return F.concat(F.lit("CC_"), F.translate(F.btrim(F.coalesce(label, F.lit("")), F.lit(BLANKS)), " /-:", "___"))

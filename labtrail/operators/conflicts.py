@@ -19,7 +19,8 @@ def exclude_conflicts(
     conflicting keys are joined, and a hot key's rows are split by adaptive skew handling.
     """
     conflicts = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high")).where("_low <> _high")
-    return df.join(conflicts.select(*keys), list(keys), "left_anti")
+    kept = df.join(conflicts.select(*keys), list(keys), "left_anti")
+    return kept.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def conflict_report(

@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from labtrail.functions import triggered
@@ -62,20 +63,21 @@ def write_batch(
     mode: str = "overwrite",
     fmt: str = FORMAT,
 ) -> None:
-    """Write one batch as a partition of the table at `path`, replacing only its own partitions.
+    """Write one batch as a folder of the table at `path`, replacing all of that batch and nothing else.
 
-    Rows are rebalanced by the partition columns first: Spark then writes files of an even size and cuts a
-    large output into several, instead of one small file per task and output.
+    Outputs that an earlier run of the batch had and this one has not are gone afterwards. Rows are
+    rebalanced by the partition columns first: Spark then writes files of an even size and cuts a large
+    output into several, instead of one small file per task and output.
     """
-    keys = ["batch_id", *partitions]
-    tagged = sanitize(df).withColumn("batch_id", F.lit(batch_id))
+    tagged = sanitize(df)
+    if partitions:
+        tagged = tagged.hint("rebalance", *[F.col(k) for k in partitions])
     (
-        tagged.hint("rebalance", *[F.col(k) for k in keys])
-        .write.format(fmt)
+        tagged.write.format(fmt)
         .mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*keys)
-        .save(path)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*partitions)
+        .save(f"{path}/batch_id={quote(batch_id, safe='')}")
     )
 
 
@@ -95,14 +97,24 @@ def write_if_any(df: DataFrame, path: str, fmt: str = FORMAT) -> bool:
 def export_bundle(members: Mapping[str, DataFrame], path: str, fmt: str = FORMAT) -> list[str]:
     """Write every non-empty member into a folder of its own; returns the names written.
 
-    Names are cut to 31 characters, the limit of sheet names. Members are written by the executors, so
-    their size does not matter to the driver.
+    For members that come from different plans. The views of one checked table are written by
+    `export_views`, which reads it once.
     """
-    short = [name[:31] for name in members]
-    repeated = {n for n in short if short.count(n) > 1}
-    if repeated:
-        raise ValueError(f"member names are the same after 31 characters: {sorted(repeated)}")
-    return [n for n, df in zip(short, members.values()) if write_if_any(df, f"{path}/{n}", fmt)]
+    return [n for n, df in members.items() if write_if_any(df, f"{path}/{n}", fmt)]
+
+
+def export_views(df: DataFrame, flags: Sequence[str], path: str, fmt: str = FORMAT) -> dict[str, int]:
+    """Write the flagged rows of all checks as one table with a folder per check; returns the rows of each.
+
+    One pass: rows are counted while they are written, and a check without rows has no folder.
+    """
+    watched = Observation("views")
+    raised = F.array(*[F.when(triggered(F.col(f"`{f}`").cast("string")), F.lit(f)) for f in flags])
+    tagged = df.select("*", F.explode(F.array_compact(raised)).alias("check"))
+    hits = [F.count_if(F.col("check") == f).alias(f"n{i}") for i, f in enumerate(flags)]
+    rows = sanitize(tagged.observe(watched, *hits)).hint("rebalance", F.col("check"))
+    rows.write.format(fmt).mode("overwrite").partitionBy("check").save(path)
+    return {f: watched.get[f"n{i}"] for i, f in enumerate(flags)}
 
 
 def flag_views(df: DataFrame, flags: Sequence[str]) -> dict[str, DataFrame]:

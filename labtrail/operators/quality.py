@@ -233,15 +233,17 @@ def sample_verdicts(
         F.sum("rows").alias("rows"),
     )
     replica = F.lit(None).cast("string").alias("replica")
-    evidence = per_base.withColumn("replica", replica)
+    evidence = per_base.withColumn("replica", replica).withColumn("paired", F.lit(None).cast("boolean"))
     if pairs is not None:
-        differing = _failing_replicas(per_parameter, pairs, limit)
-        evidence = evidence.unionByName(
-            differing.withColumnRenamed("chemical_name", "replica"), allowMissingColumns=True
+        differing = _failing_replicas(per_parameter, pairs, limit).withColumnRenamed("chemical_name", "replica")
+        paired = pairs.select(F.explode(F.array("original", "replica")).alias("sample_name")).distinct()
+        evidence = evidence.unionByName(differing, allowMissingColumns=True).unionByName(
+            paired.withColumn("paired", F.lit(True)), allowMissingColumns=True
         )
     per_sample = evidence.groupBy("sample_name").agg(
         F.collect_set(F.when(F.col("_dissolved") > F.col("_total"), F.col("base"))).alias("bases"),
         F.collect_set("replica").alias("replicas"),
+        F.max("paired").alias("in_replica_pair"),
         F.max("_part").alias("_part"),
         F.min("_whole").alias("_whole"),
         *[F.min(f"_s_{s}").alias(f"_s_{s}") for s in species],
@@ -255,6 +257,7 @@ def sample_verdicts(
         F.when(F.size("replicas") > 0, F.col("replicas")).alias("replicas"),
         F.when(too_much, F.lit(f"{part} maior que {whole}")).alias("demand"),
         join_messages(*broken).alias("species"),
+        "in_replica_pair",
         "rows",
     )
 
@@ -272,7 +275,8 @@ def cross_checks(
     """`total_dissolved`, `oxygen_demand`, `species_check` and `replica_rpd` together.
 
     The same flags as the four checks one after another, for one shuffle of the rows instead of four: the
-    verdicts are joined into one row per failing sample and attached once.
+    verdicts are joined into one row per sample with something to tell and attached once. `in_replica_pair`
+    says which rows belong to a sample of a pair (null: none).
     """
     verdicts = sample_verdicts(df, excluded_samples, demand, species, rules, pairs, limit)
     chemical = F.col("chemical_name")
@@ -294,6 +298,28 @@ def cross_checks(
     return told.withColumns(flags).drop("demand", "species", "bases", "replicas")
 
 
+def examined(
+    surrogates: Sequence[str] = SURROGATES,
+    excluded_samples: Sequence[str] = (),
+    demand: tuple[str, str] = ("DBO", "DQO"),
+    species: Mapping[str, str] = CHROMIUM,
+    blanks: Sequence[str] = BLANK_CODES,
+) -> dict[str, tuple[str, Column]]:
+    """Per check its flag column and which rows it looks at, for the tally of `cross_checks` and the others."""
+    water = in_water(excluded_samples)
+    return {
+        "Surrogate": ("flag_surrogate", _name().isin(*surrogates)),
+        "Totais_Dissolvidos": (
+            "flag_totais_dissolvido",
+            water & ~mentions("cromo") & (mentions("total") | mentions("dissolvido")),
+        ),
+        "DBO_DQO": ("flag_dbo_dqo", in_water() & (begins(demand[0]) | begins(demand[1]))),
+        "Cromo": ("flag_cromo", water & _name().isin(*species.values())),
+        "Branco": ("flag_branco", F.col("quality_code").isin(*blanks)),
+        "RPD_Replica": ("flag_rpd", F.col("in_replica_pair")),
+    }
+
+
 def summary(df: DataFrame, checks: Mapping[str, tuple[str, Column]]) -> DataFrame:
     """Rows examined, rows flagged and status per check, in one pass.
 

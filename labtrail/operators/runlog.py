@@ -94,9 +94,8 @@ def append_log(log: DataFrame, path: str, fmt: str = "parquet", strict: bool = F
     A run is not lost for its log: unless `strict`, a failure is a warning and the answer False.
     """
     try:
-        log.coalesce(1).write.format(fmt).mode("append").option("mergeSchema", "true").partitionBy(
-            "projeto"
-        ).save(path)
+        # a few rows come out as one file, a large log as several
+        log.hint("rebalance", F.col("projeto")).write.format(fmt).mode("append").partitionBy("projeto").save(path)
     except Exception as error:
         if strict:
             raise
@@ -107,12 +106,7 @@ def append_log(log: DataFrame, path: str, fmt: str = "parquet", strict: bool = F
 
 def read_log(spark: SparkSession, path: str, project: str, fmt: str = "parquet") -> DataFrame:
     """The log of one project, older rows with fewer columns included."""
-    return (
-        spark.read.format(fmt)
-        .option("mergeSchema", "true")
-        .load(path)
-        .where(F.col("projeto") == project)
-    )
+    return spark.read.format(fmt).schema(LOG).load(path).where(F.col("projeto") == project)
 
 
 def latest_step(

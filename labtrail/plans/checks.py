@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labtrail.operators.quality import (
-    blank,
-    cross_checks,
-    in_water,
-    summary,
-    surrogate,
-)
-from labtrail.rules import BLANK_CODES, CHROMIUM, ProjectRules
+from labtrail.operators.outputs import union_sources
+from labtrail.operators.quality import blank, cross_checks, examined, summary, surrogate
+from labtrail.rules import ProjectRules
+from labtrail.sources.batches import BATCH, latest_batch, source_prefix
 
 FLAGS = (
     "flag_surrogate",
@@ -38,22 +36,14 @@ def quality_checks(
     )
 
 
-def examined(rules: ProjectRules) -> dict[str, tuple[str, Column]]:
-    """Which rows each check looks at, for the tally."""
-    name = F.trim("chemical_name")
-    water = in_water(rules.excluded_samples)
-    return {
-        "Surrogate": ("flag_surrogate", name.isin(*rules.surrogates)),
-        "Totais_Dissolvidos": (
-            "flag_totais_dissolvido",
-            water & ~name.rlike("(?i)cromo") & name.rlike("(?i)total|dissolvido"),
-        ),
-        "DBO_DQO": ("flag_dbo_dqo", in_water() & name.rlike("(?i)^(DBO|DQO)")),
-        "Cromo": ("flag_cromo", water & name.isin(*CHROMIUM.values())),
-        "Branco": ("flag_branco", F.col("quality_code").isin(*BLANK_CODES)),
-        "RPD_Replica": ("flag_rpd", F.col("flag_rpd").isNotNull()),
-    }
+def quality_summary(checked: DataFrame, rules: ProjectRules) -> DataFrame:
+    """Rows examined and flagged, and the status of every check."""
+    return summary(checked, examined(rules.surrogates, rules.excluded_samples))
 
 
-def quality_summary(checked: DataFrame, rules: ProjectRules) -> DataFrame:
-    return summary(checked, examined(rules))
+def newest_quality_checks(
+    sources: Mapping[str, DataFrame], rules: ProjectRules, pairs: DataFrame | None = None, mode: str = "pair"
+) -> DataFrame:
+    """All checks over the newest batch of each source (tables with `batch_id`), as one plan."""
+    newest = {name: latest_batch(df, by=[source_prefix(F.col(BATCH))]) for name, df in sources.items()}
+    return quality_checks(union_sources(newest), rules, pairs, mode)

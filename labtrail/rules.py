@@ -94,23 +94,6 @@ CHROMIUM_RULES = (
 )
 RPD_LIMIT = 20
 
-# --- fixed values: planning groups and the names the scope uses for them -------------------------------
-SOIL_GROUPS = ("Metais (CONAMA 420)", "Ions", "pH", "VOC", "SVOC", "TPH Fingerprint", "PCB")
-GROUNDWATER_GROUPS = {
-    "Metais Totais": "Metais Totais",
-    "Metais Dissolvidos": "Metais Dissolvidos",
-    "Ions": "Ions",
-    "VOC": "VOC",
-    "SVOC": "SVOC",
-    "TPH FP": "TPH",
-    "Nitrogênio amoniacal": "Nitrogênio Amoniacal",
-    "Nitrato": "Metais Totais",
-    "Coliformes": "Coliformes Totais",
-    "E.coli": "Escherichia coli (E. coli)",
-    "DBO": "DBO",
-    "DQO": "DQO",
-}
-
 NO_FLAGS = "—"
 
 

@@ -6,13 +6,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BATCH = "batch_id"
 
 
-def read_batches(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """All batches of a table; `batch_id` is a partition column, so a filter on it skips folders."""
-    return spark.read.format(fmt).option("mergeSchema", "true").load(path)
+def read_batches(
+    spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | str | None = None
+) -> DataFrame:
+    """All batches of a table; `batch_id` is a partition column, so a filter on it skips folders.
+
+    With a schema no file is opened for it, and columns that older batches lack are null. Without one it is
+    that of one file.
+    """
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
 def list_batches(df: DataFrame) -> DataFrame:
@@ -40,10 +48,6 @@ def newest_batches(batches: DataFrame, by: Sequence[Column] = (), before: str |
 
 
 def latest_batch(df: DataFrame, by: Sequence[Column] = (), before: str | None = None) -> DataFrame:
-    """The rows of the newest batch (per `by`).
-
-    The names are looked up first (one job over the partition column, one name per `by` value comes back),
-    so that the scan is then planned on those folders alone.
-    """
-    names = [r[BATCH] for r in newest_batches(df.select(BATCH).distinct(), by, before).collect()]
-    return df.where(F.col(BATCH).isin(*names)) if names else df.limit(0)
+    """The rows of the newest batch (per `by`): a semi join with the newest names, so nothing runs early."""
+    newest = newest_batches(df.select(BATCH).distinct(), by, before).select(BATCH)
+    return df.join(newest, BATCH, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])

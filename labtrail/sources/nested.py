@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labtrail.functions import custody_label
+from labtrail.functions.text import BLANKS
 from labtrail.schemas import (
     CUSTODY_FIELDS,
     PARAMETER_FIELDS,
@@ -49,7 +50,7 @@ def custody_labels(notes: Column) -> Column:
             custody_label(n["label"]),
             F.lit("value"),
             F.array_join(
-                F.filter(F.coalesce(n["value"], F.array()), lambda v: F.trim(v) != ""), " | "
+                F.filter(F.coalesce(n["value"], F.array()), lambda v: F.btrim(v, F.lit(BLANKS)) != ""), " | "
             ),
         ),
     )

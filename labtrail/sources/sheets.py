@@ -29,11 +29,14 @@ def as_strings(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
-def read_sheet(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """One landed sheet, all columns text, headers trimmed. CSV is UTF-8 with a header line."""
+def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = True) -> DataFrame:
+    """One landed sheet, all columns text, headers trimmed. CSV is UTF-8 with a header line.
+
+    `multiline=False` for sheets without line breaks in cells: such files are split among tasks.
+    """
     reader = spark.read.format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("encoding", "UTF-8").option("multiLine", True)
+        reader = reader.option("header", True).option("encoding", "UTF-8").option("multiLine", multiline)
     return as_strings(trim_headers(reader.load(path)))
 
 

@@ -4,7 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from labtrail.operators.outputs import export_bundle, flag_views, union_sources, write_batch, write_table
+from labtrail.operators.outputs import export_bundle, export_views, flag_views, union_sources, write_batch, write_table
 from labtrail.plans.checks import quality_checks
 from labtrail.plans.clean import clean
 from labtrail.plans.intake import intake_flat, intake_nested, intake_pair
@@ -164,7 +164,8 @@ def test_batches(spark, rows, tmp_path):
     prefix = batches.source_prefix(F.col("batch_id"))
     newest = batches.latest_batch(df, by=[prefix])
     assert sorted(r.x for r in newest.collect()) == [2, 44]
-    assert "PartitionFilters: [batch_id" in newest._jdf.queryExecution().toString()
+    kept = batches.read_batches(spark, path, schema="x int, a_b string, later string")
+    assert kept.count() == 4 and kept.first().later is None
     assert [r.x for r in batches.latest_batch(df, before="mailB_20260906").collect()] == [3]
     assert batches.latest_batch(df, before="a").count() == 0
 
@@ -172,10 +173,11 @@ def test_batches(spark, rows, tmp_path):
 def test_tables_and_bundles(spark, rows, tmp_path):
     df = rows("flag_a string, `x y` int", ("m", 1), (" ", 2))
     names = export_bundle({"a" * 40: df, "empty": df.limit(0), **flag_views(df, ["flag_a"])}, str(tmp_path))
-    assert names == ["a" * 31, "flag_a"]
+    assert names == ["a" * 40, "flag_a"]
     assert spark.read.parquet(f"{tmp_path}/flag_a").collect()[0]["x_y"] == 1
-    with pytest.raises(ValueError):
-        export_bundle({"b" * 40: df, "b" * 35: df}, str(tmp_path))
+    counts = export_views(df.withColumn("flag_b", F.lit("n")), ["flag_a", "flag_b", "x y"], str(tmp_path / "views"))
+    assert counts == {"flag_a": 1, "flag_b": 2, "x y": 2}
+    assert spark.read.parquet(str(tmp_path / "views")).groupBy("check").count().count() == 3
     write_table(df.select(F.lit("µ³ç").alias("t")), str(tmp_path / "t"), "csv")
     assert spark.read.csv(str(tmp_path / "t")).first()[0] == "µ³ç"
     both = union_sources({"one": df, "two": df.drop("x y")})
