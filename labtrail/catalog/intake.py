@@ -168,28 +168,9 @@ _PARSED = r"""
 """
 
 
-@query(
-    "layout_canonical",
-    f"""
-    WITH {LAB}, own AS (SELECT *, {_PARSED} FROM lab WHERE campaign LIKE '%HIGH%' OR campaign LIKE '%URGENT%')
-    SELECT 'site' AS fonte_qaqc, campaign AS campanha, cast(sample_id AS varchar) AS "idAmostra",
-           matrix AS matriz, parameter AS "parametroOriginal", qualifier, "resultadoNumerico", "resultadoTexto",
-           date_text AS "dataRecebLab", cast(NULL AS varchar) AS "metodoAnalise",
-           cast(NULL AS varchar) AS "limiteQuantificacao", situation AS "dataLiberacao",
-           'LAB' AS laboratorio, 'LAB_SITE' AS "OrigemArquivo"
-    FROM own
-    UNION ALL
-    SELECT 'mail', campaign, cast(sample_id AS varchar),
-           CASE matrix_code WHEN 'SO' THEN 'Solo' WHEN 'ASUB' THEN 'Água Subterrânea' ELSE matrix_code END,
-           parameter, qualifier, "resultadoNumerico", "resultadoTexto",
-           strftime(sampled_at, '%d/%m/%Y'), method, lq_text, NULL, 'LAB', 'LAB_MAIL'
-    FROM own
-    """,
-)
-def layout_canonical(spark, sf_dir):
-    """The same results delivered as a flat sheet and as a sample/analysis pair, both made canonical."""
-    wanted = ("HIGH", "URGENT")
-    flat_sheet = lab(
+def flat_sheet(spark, sf_dir):
+    """The results as a flat sheet."""
+    return lab(
         spark,
         sf_dir,
         *("campaign", "sample_name", "matrix", "sample_id", "date_text", "situation"),
@@ -207,8 +188,10 @@ def layout_canonical(spark, sf_dir):
         F.col("result_text").alias("Resultado da Análise"),
         F.col("unit_from").alias("Unidade de Medida da Análise"),
     )
-    flat = filter_campaign(resolve_flat(flat_sheet), "proposta", contains=wanted)
 
+
+def pair_sheets(spark, sf_dir):
+    """The results as a sample sheet and an analysis sheet."""
     day = F.date_format("o_orderdate", "dd/MM/yyyy")
     # the matrix belongs to the result here, so a sample key is (order, matrix)
     code = F.col("matrix_code")
@@ -239,7 +222,33 @@ def layout_canonical(spark, sf_dir):
             F.col("o_orderpriority").alias("Proposta Comercial"),
         )
     )
-    samples, analyses = resolve_pair(sample_sheet, analysis_sheet)
+    return sample_sheet, analysis_sheet
+
+
+@query(
+    "layout_canonical",
+    f"""
+    WITH {LAB}, own AS (SELECT *, {_PARSED} FROM lab WHERE campaign LIKE '%HIGH%' OR campaign LIKE '%URGENT%')
+    SELECT 'site' AS fonte_qaqc, campaign AS campanha, cast(sample_id AS varchar) AS "idAmostra",
+           matrix AS matriz, parameter AS "parametroOriginal", qualifier, "resultadoNumerico", "resultadoTexto",
+           date_text AS "dataRecebLab", cast(NULL AS varchar) AS "metodoAnalise",
+           cast(NULL AS varchar) AS "limiteQuantificacao", situation AS "dataLiberacao",
+           'LAB' AS laboratorio, 'LAB_SITE' AS "OrigemArquivo"
+    FROM own
+    UNION ALL
+    SELECT 'mail', campaign, cast(sample_id AS varchar),
+           CASE matrix_code WHEN 'SO' THEN 'Solo' WHEN 'ASUB' THEN 'Água Subterrânea' ELSE matrix_code END,
+           parameter, qualifier, "resultadoNumerico", "resultadoTexto",
+           strftime(sampled_at, '%d/%m/%Y'), method, lq_text, NULL, 'LAB', 'LAB_MAIL'
+    FROM own
+    """,
+)
+def layout_canonical(spark, sf_dir):
+    """The same results delivered as a flat sheet and as a sample/analysis pair, both made canonical."""
+    wanted = ("HIGH", "URGENT")
+    flat = filter_campaign(resolve_flat(flat_sheet(spark, sf_dir)), "proposta", contains=wanted)
+
+    samples, analyses = resolve_pair(*pair_sheets(spark, sf_dir))
     pair = join_pair(filter_campaign(samples, "proposta", contains=wanted), analyses)
 
     both = union_sources(
