@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rows of a hot key go to this many times as many places as they have even shares.
@@ -50,12 +50,12 @@ def attach(
 ) -> DataFrame:
     """Left-join `info` (at most one row per key) to `rows` when neither side is known to be small.
 
-    A key with more than an even share of all rows (1 / shuffle partitions) is hot. Its rows are spread by a
-    hash of the row over a number of places that follows from the key's own count, and its information goes
-    to each of them. There are fewer hot keys than shuffle partitions, whatever the data, and their information
-    is copied a few times that number in all: that bounds the broadcast list of hot keys as well. All other
-    keys meet by hash. This holds too when the rows already lie together by the key. Every row sees all of
-    `info`, whichever way it goes.
+    Of all keys but the largest few, as many as there are shuffle partitions, each holds less than an even
+    share of the rows and meets its information by hash. Those largest are hot: their rows are spread by a
+    hash of the row over a number of places that follows from the key's own count, and their information goes
+    to each of these. The list of hot keys that is broadcast has a row per shuffle partition at most, and
+    their information is copied a few times that number in all. This holds too when the rows already lie
+    together by the key. Every row sees all of `info`, whichever way it goes.
 
     weight: a column of `info` that counts the rows behind each key, when `info` covers all of them.
             Without it the keys of `rows` are counted, which combines before its shuffle.
@@ -70,9 +70,10 @@ def attach(
         counted = info.select(*on, F.col(f"`{weight}`").alias("_n"))
     else:
         counted = rows.where(wanted).dropna(subset=on).groupBy(*on).agg(F.count("*").alias("_n"))
-    total = counted.agg(F.sum("_n")).scalar()
-    share = F.col("_n") * parts / total
-    hot = counted.where(share > 1).select(*on, F.ceil(FINENESS * share).alias("_places"))
+    largest = counted.orderBy(F.desc("_n"), *on).limit(parts)
+    # of the rows of the hot keys, which are at most all rows
+    share = F.col("_n") * parts / F.greatest(F.sum("_n").over(Window.partitionBy()), F.lit(1))
+    hot = largest.select(*on, F.ceil(FINENESS * share).alias("_places"))
 
     keyless = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in on])
     place = (

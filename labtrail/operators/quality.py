@@ -74,22 +74,20 @@ def pair_order_check(
     part, whole: which rows are the two sides. keys: what pairs them (name -> expression).
     mode: `pair` flags the rows of the two sides, `rows` every row that shares the key.
 
-    The largest part against the smallest whole tells whether any pair fails, so pairs are never formed.
+    The largest part against the smallest whole tells whether any pair fails, so pairs are never formed. Only
+    the failing keys are joined to the rows; adaptive skew handling splits the rows of a hot one.
     """
     names = [f"_key_{k}" for k in keys]
     keyed = df.withColumns({"_is_part": part, "_is_whole": whole, **dict(zip(names, keys.values()))})
     side = F.col("_is_part") | F.col("_is_whole")
-    sides = keyed.where(side) if mode == "pair" else keyed
-    extremes = sides.groupBy(*names).agg(
+    extremes = keyed.where(side).groupBy(*names).agg(
         F.max(F.when(F.col("_is_part"), F.col("value"))).alias("_part"),
         F.min(F.when(F.col("_is_whole"), F.col("value"))).alias("_whole"),
-        F.count("*").alias("_n"),
     )
-    verdicts = extremes.select(
-        *names, "_n", F.when(exceeds(F.col("_part"), F.col("_whole")), F.lit(message)).alias(flag)
-    )
-    checked = attach(keyed, verdicts, names, weight="_n", only=side if mode == "pair" else None)
-    return checked.drop("_is_part", "_is_whole", *names)
+    failing = extremes.where(exceeds(F.col("_part"), F.col("_whole"))).select(*names, F.lit(True).alias("_fails"))
+    raised = F.col("_fails") & side if mode == "pair" else F.col("_fails")
+    checked = keyed.join(failing, names, "left").withColumn(flag, F.when(raised, F.lit(message)))
+    return checked.select(*[F.col(f"`{c}`") for c in df.columns], flag)
 
 
 def total_dissolved(df: DataFrame, excluded_samples: Sequence[str] = (), mode: str = "pair") -> DataFrame:
@@ -143,12 +141,12 @@ def species_check(
         .groupBy("sample_name")
         .agg(
             *[F.min(F.when(_name() == name, F.col("value"))).alias(f"_s_{s}") for s, name in species.items()],
-            F.count("*").alias("_n"),
         )
     )
     broken = [(F.col(f"_s_{a}") > F.col(f"_s_{b}"), message) for a, b, message in rules]
-    verdicts = per_sample.select("sample_name", "_n", join_messages(*broken).alias(flag))
-    return attach(df, verdicts, ["sample_name"], weight="_n", only=listed)
+    failing = per_sample.select("sample_name", join_messages(*broken).alias("_broken")).where("_broken is not null")
+    checked = df.join(failing, "sample_name", "left").withColumn(flag, F.when(listed, F.col("_broken")))
+    return checked.select(*[F.col(f"`{c}`") for c in df.columns], flag)
 
 
 def replica_pairs(df: DataFrame, parent: str = "parent") -> DataFrame:
@@ -185,9 +183,9 @@ def _differences(values: DataFrame, pairs: DataFrame) -> DataFrame:
 def replica_rpd(df: DataFrame, pairs: DataFrame, limit: float = RPD_LIMIT) -> DataFrame:
     """Flag the rows of both samples of a pair whose values differ by more than `limit` percent."""
     keys = ["sample_name", "chemical_name"]
-    values = df.groupBy(*keys).agg(F.min("value").alias("value"), F.count("*").alias("_n"))
+    values = df.groupBy(*keys).agg(F.min("value").alias("value"))
     failing = _failing_replicas(values, pairs, limit).withColumn("flag_rpd", F.lit(f"RPD > {limit:g}%"))
-    return attach(df, values.drop("value").join(failing, keys, "left"), keys, weight="_n")
+    return df.join(failing, keys, "left").select(*[F.col(f"`{c}`") for c in df.columns], "flag_rpd")
 
 
 def _failing_replicas(values: DataFrame, pairs: DataFrame, limit: float) -> DataFrame:
