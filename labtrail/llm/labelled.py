@@ -1,4 +1,4 @@
-"""Bounded samples of labelled rows to fit a classifier on."""
+"""Bounded samples to fit a classifier on."""
 
 from __future__ import annotations
 
@@ -6,6 +6,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def text_sample(texts: DataFrame, most: int) -> list[str]:
+    """At most `most` different texts of a column `text`, the first by a hash; the same on every run.
+
+    Only hashes are sorted out first, so a task hands on `most` numbers and not that many texts.
+    """
+    hashed = texts.where(F.col("text").isNotNull()).select("text", F.xxhash64("text").alias("hash"))
+    first = hashed.select("hash").distinct().orderBy("hash").limit(most)
+    last = first.agg(F.max("hash")).first()[0]
+    if last is None:
+        return []
+    chosen = hashed.where(F.col("hash") <= last).groupBy("hash").agg(F.min("text").alias("text"))
+    return [r["text"] for r in chosen.orderBy("hash").collect()]
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, train: Column, rows_per_class: int, doc_id: str = "doc_id"
 ) -> DataFrame:

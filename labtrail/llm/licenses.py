@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labtrail.llm.common import let, query, table
+from labtrail.llm.labelled import text_sample
 
 UNKNOWN = "unknown"
 # Wording of common licence notices.
@@ -166,11 +167,9 @@ def train(paragraphs: list[str], copies: int = 30, steps: int = 300, ridge: floa
 
 
 def sample_paragraphs(docs: DataFrame, most: int = SAMPLED_PARAGRAPHS) -> list[str]:
-    """One paragraph of up to 2,000 characters from each of at most `most` texts, the first by a hash."""
+    """At most `most` different first paragraphs of 20 to 2,000 characters, the first by a hash."""
     lines = F.filter(F.split("text", "\n"), lambda x: (F.length(x) > 20) & (F.length(x) <= 2000))
-    some = docs.select(F.xxhash64("text").alias("order"), F.get(lines, F.lit(0)).alias("line"))
-    some = some.where(F.col("line").isNotNull()).orderBy("order", "line").limit(most)
-    return [r["line"] for r in some.select("line").collect()]
+    return text_sample(docs.select(F.get(lines, F.lit(0)).alias("text")), most)
 
 
 def scan(docs: DataFrame, model: Classifier, confirmed: float = CONFIRMED, text: str = "text") -> DataFrame:

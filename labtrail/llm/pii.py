@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labtrail.llm.common import query, table
+from labtrail.llm.labelled import text_sample
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -291,17 +292,11 @@ def fit(texts: list[str], steps: int = 200, rate: float = 0.1, ridge: float = 1e
 
 
 def train(docs: DataFrame, texts: int = TRAIN_TEXTS, chars: int = TRAIN_CHARS) -> Field:
-    """Fit on at most `texts` of the texts that have any node, the first by a hash of the text.
+    """Fit on at most `texts` different texts that have any node, the first by a hash of the text.
 
     Only whole texts of up to chars / texts characters are taken, so that no more than `chars` reach the driver.
     """
-    some = (
-        docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= chars // texts))
-        .select("text", F.xxhash64("text").alias("order"))
-        .orderBy("order", "text")
-        .limit(texts)
-    )
-    return fit([r["text"] for r in some.select("text").collect()])
+    return fit(text_sample(docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= chars // texts)), texts))
 
 
 def digest(spans: list[Span]) -> str:

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from labtrail.llm import licenses, pii, quality, toxicity, urls
+from labtrail.llm import labelled, licenses, pii, quality, toxicity, urls
 
 SF_DIR = "/root/testdata/sf0.01"
 
@@ -203,3 +203,11 @@ def test_grams_lie_within_words():
     assert np.diff(np.append(first, len(ids))).tolist() == [3, 1, 9]
     alone, _ = toxicity.grams(["日本語x"])
     assert set(ids[first[2] :]) == set(alone)
+
+
+def test_text_sample_is_bounded_and_stable(spark):
+    df = spark.createDataFrame([(t,) for t in [f"t{k % 40}" for k in range(200)] + [None]], "text string")
+    some = labelled.text_sample(df, 10)
+    assert len(some) == len(set(some)) == 10 and some == labelled.text_sample(df.repartition(5), 10)
+    assert sorted(labelled.text_sample(df, 1000)) == sorted(f"t{k}" for k in range(40))
+    assert labelled.text_sample(df.limit(0), 10) == []
