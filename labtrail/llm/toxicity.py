@@ -27,7 +27,7 @@ from labtrail.llm.labelled import labelled_sample
 FOLDS, FOLD = 5, 0
 THRESHOLD = 0.5
 TRAIN_ROWS_PER_CLASS = 3_000
-TRAIN_CHARS = 16_000_000
+TRAIN_CHARS = 10_000_000
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 18
 DIMENSIONS = 8
@@ -36,16 +36,27 @@ BLANK_TO_SPACE = str.maketrans("\t\n\x0b\f\r", "     ")
 
 
 def grams(words: list[str], sizes=SIZES, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of the words (each with a space at either end), and where each word's begin.
+    """Hashed n-grams of the words (each with a space at either end), and where each word's begin."""
+    ids, counts = [], []
+    for start in range(0, len(words), 20_000):
+        some, many = _grams(words[start : start + 20_000], sizes, buckets)
+        ids.append(some)
+        counts.append(many)
+    every = np.concatenate(counts)
+    return np.concatenate(ids), np.cumsum(every) - every
 
-    All words are hashed at once: a window of n characters is kept if it lies within one word and its ends.
+
+def _grams(words: list[str], sizes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed n-grams, and how many each word has.
+
+    The words are hashed together: a window of n characters is kept if it lies within one word and its ends.
     """
     codes = np.frombuffer((" " + " ".join(words) + " ").lower().encode("utf-32-le", "surrogatepass"), "<u4")
     codes = codes.astype(np.uint64)
     spaces = np.flatnonzero(codes == 32)
     word = np.cumsum(codes == 32) - 1  # of each character; an end belongs to the word after it
     length = np.diff(spaces)  # with one of the two ends
-    at, of, hashed = [], [], []
+    of, hashed = [], []
     value = np.zeros(len(codes), dtype=np.uint64)
     for n in range(1, max(sizes) + 1):
         value = value[: len(codes) - n + 1] * np.uint64(0x100000001B3) + codes[n - 1 :]
@@ -54,16 +65,12 @@ def grams(words: list[str], sizes=SIZES, buckets: int = BUCKETS) -> tuple[np.nda
         start = np.arange(len(value))
         own = np.minimum(word[: len(value)], len(length) - 1)
         inside = (start + n <= spaces[own] + length[own] + 1) & (word[: len(value)] < len(length))
-        start = start[inside]
-        at.append(start)
         of.append(own[inside])
         mixed = (value[inside] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
         hashed.append((mixed >> np.uint64(40)) % np.uint64(buckets))
     of = np.concatenate(of)
     order = np.argsort(of, kind="stable")
-    first = np.zeros(len(words), dtype=np.int64)
-    first[1:] = np.cumsum(np.bincount(of, minlength=len(words)))[:-1]
-    return np.concatenate(hashed)[order].astype(np.int64), first
+    return np.concatenate(hashed)[order].astype(np.int32), np.bincount(of, minlength=len(words))
 
 
 class Texts:
@@ -77,7 +84,7 @@ class Texts:
             counts.append(len(words))
             tokens += [kinds.setdefault(w, len(kinds)) for w in words]
         self.kinds = list(kinds)
-        self.tokens = np.array(tokens, dtype=np.int64)
+        self.tokens = np.array(tokens, dtype=np.int32)
         self.counts = np.array(counts, dtype=np.int64)
 
     def stretches(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,11 +161,11 @@ def fit(
     y = y[read.counts > 0].astype(float)
     ids, first = grams(read.kinds, buckets=buckets)
     per_word = np.diff(np.append(first, len(ids)))
-    kind_of = np.repeat(np.arange(len(read.kinds)), per_word)
+    kind_of = np.repeat(np.arange(len(read.kinds), dtype=np.int32), per_word)
     begin, size, of = read.stretches(width)
     many = np.diff(np.append(of, len(begin)))
-    text_of = np.repeat(np.arange(len(of)), many)
-    stretch_of = np.repeat(np.arange(len(begin)), size)
+    text_of = np.repeat(np.arange(len(of), dtype=np.int32), many)
+    stretch_of = np.repeat(np.arange(len(begin), dtype=np.int32), size)
     clean = y[text_of] == 0
     toxic_weight, clean_weight = 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)
     values = (model.embeddings, model.weights, model.biases)
