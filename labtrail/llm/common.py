@@ -15,6 +15,7 @@ ORACLES: dict[str, str] = {}
 # A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
 
 def query(name: str, sql: str | None = None):
@@ -70,11 +71,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read from there.
 
     Cuts the lineage: a lost executor costs the tasks it ran, not the steps before, and rows that were dealt
-    out keep their places. The files go when the application ends.
+    out keep their places. The files go when the application ends. During the write, rows go to Python in
+    batches of few bytes, so that a task holds little of long texts at a time; the setting is put back.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(BATCH_SETTING)
+    spark.conf.set(BATCH_SETTING, BATCH_BYTES)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(BATCH_SETTING, before)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)

@@ -44,7 +44,7 @@ BANDS, ROWS = 40, 5
 CHECKED, STEP = 64, 16
 TOLERANCE = 1e-6
 BLOCK = 1024
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000
 BLANKS_TO_SPACE = str.maketrans("\t\n\x0b\f\r", "     ")
 
 _random = np.random.default_rng(20240229)
