@@ -139,6 +139,48 @@ def test_licence_scan(spark):
     assert licenses.scan(df.limit(0), model).count() == 0
 
 
+WRAPPED = {
+    "gpl": "# This program is free software: you can redistribute it and/or modify\n"
+    "# it under the terms of the GNU General Public License as published by\n"
+    "# the Free Software Foundation, either version 3 of the License, or",
+    "lgpl": " * This library is free software; you can redistribute it and/or\n"
+    " * modify it under the terms of the GNU Lesser General Public\n"
+    " * License as published by the Free Software Foundation; either",
+    "bsd": "Redistribution and use in source and binary forms, with or without\n"
+    "modification, are permitted provided that the following conditions are met:",
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy\r\n"
+    'of this software and associated documentation files (the "Software"), to deal',
+}
+
+
+def test_wrapped_notices_and_identifiers(spark):
+    model = licenses.train(["Some prose about nothing at all.", "And the other day it was not there."])
+    prose = "The house by the river was old and nobody lived in it."
+    words = re.sub("[#*]", "", WRAPPED["gpl"]).split()
+    rows = [
+        *((k, f"Title\n\n{text}\n{prose}", [(1, family)]) for k, (family, text) in enumerate(WRAPPED.items())),
+        (10, "\n".join(words), [(0, "gpl")]),  # a word a line
+        (11, "\n".join([WRAPPED["gpl"], WRAPPED["bsd"], WRAPPED["gpl"]]), [(0, "gpl"), (3, "bsd"), (5, "gpl")]),
+        (12, "\n".join([prose] * 30) + "\nReleased under the MIT\nLicense.\n" + prose, [(30, "mit")]),
+        (13, "Released under the MIT License.\n" + WRAPPED["mit"], [(0, "mit"), (1, "mit")]),
+        (14, "w " * 5000 + WRAPPED["bsd"] + " w" * 5000, [(0, "bsd")]),
+        (15, "\n".join([prose] * 5), []),
+        (16, "Please read the terms of the license\nbefore you use this software.", []),
+        (20, "// SPDX-License-Identifier: GPL-2.0-or-later", [(0, "gpl")]),
+        (21, "// SPDX-License-Identifier: BSD-2-Clause", [(0, "bsd")]),
+        (22, "/* SPDX-License-Identifier: LGPL-3.0+ */", [(0, "lgpl")]),
+        (23, "SPDX-License-Identifier: MPL-1.1", [(0, "mpl")]),
+        (24, "SPDX-License-Identifier: CC-BY-SA-3.0", [(0, "cc-by-sa")]),
+        (25, "This work is licensed under the GNU General Public License, version 2.", [(0, "gpl")]),
+        (26, "Released under the BSD 2-Clause License.", [(0, "bsd")]),
+    ]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in licenses.scan(df, model).collect()}
+    assert {d: [(t.paragraph, t.family) for t in v if t.confirmed] for d, v in got.items()} == {r[0]: r[2] for r in rows}
+    # all lines of the notice, and no finding of the same family for each of them
+    assert [(t.paragraph, t.last) for t in got[0] if t.family == "gpl"] == [(1, 3)]
+
+
 # ---------------------------------------------------------------- classifiers
 
 
