@@ -185,7 +185,7 @@ def train(docs: DataFrame, labels: DataFrame, rows_per_class: int = TRAIN_ROWS_P
     known = labelled_sample(
         docs.select("doc_id", "text"), labels, "quality", ~held_out(F.col("doc_id"), FOLDS, FOLD), rows_per_class
     )
-    got = features(known).select("__row.doc_id", "__row.__label", "__f").orderBy("doc_id").toArrow()
+    got = features(known).select("__row.doc_id", "__row.__hash", "__row.__label", "__f").orderBy("doc_id", "__hash").toArrow()
     x = np.array(got.column("__f").to_pylist(), dtype=float).reshape(-1, len(FEATURES))
     return fit(x, np.array(got.column("__label").to_pylist(), dtype=float))
 

@@ -247,6 +247,16 @@ def test_grams_lie_within_words():
     assert set(ids[first[2] :]) == set(alone)
 
 
+def test_labelled_sample_bounds_rows(spark):
+    docs = [(1, "same")] * 500 + [(2, f"text {k}") for k in range(500)] + [(3, None), (3, None), (4, "x"), (None, "y")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (4, 2)], "doc_id long, quality int")
+    got = labelled.labelled_sample(df, labels, "quality", F.lit(True), 20).collect()
+    assert sorted((r.doc_id, r.text or "") for r in got if r.doc_id != 2) == [(1, "same"), (3, "")]
+    assert len({r.text for r in got if r.doc_id == 2}) == len(got) - 2 == 20
+    assert {(r.doc_id, r["__label"]) for r in got} == {(1, 1), (2, 0), (3, 1)}
+
+
 def test_text_sample_is_bounded_and_stable(spark):
     df = spark.createDataFrame([(t,) for t in [f"t{k % 40}" for k in range(200)] + [None]], "text string")
     some = labelled.text_sample(df, 10)
