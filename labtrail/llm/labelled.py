@@ -20,6 +20,22 @@ def text_sample(texts: DataFrame, most: int) -> list[str]:
     return [r["text"] for r in chosen.orderBy("hash").collect()]
 
 
+def within(sizes: list[int], budget: int) -> list[int]:
+    """Places of the sizes, in order, that fit into the budget together.
+
+    One after another is taken while it fits; what does not fit is passed over and ends nothing. Sizes over a
+    hundredth of the budget wait until the others have been seen, the smallest first, so that a few of them
+    cannot use it up while smaller ones are there. Only a size over the whole budget never fits.
+    """
+    waiting = sorted((i for i, n in enumerate(sizes) if n > budget // 100), key=lambda i: (sizes[i], i))
+    out = []
+    for i in [*(i for i, n in enumerate(sizes) if n <= budget // 100), *waiting]:
+        if sizes[i] <= budget:
+            budget -= sizes[i]
+            out.append(i)
+    return sorted(out)
+
+
 def labelled_rows(
     docs: DataFrame, labels: DataFrame, label: str, train: Column, rows_per_class: int, doc_id: str = "doc_id",
     text: str = "text",

@@ -18,16 +18,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labtrail.llm.common import held_out, query, table
-from labtrail.llm.labelled import labelled_sample
+from labtrail.llm.labelled import labelled_rows, rows_of, within
 
 FOLDS, FOLD = 5, 0
 THRESHOLD = 0.5
 TRAIN_ROWS_PER_CLASS = 3_000
-TRAIN_CHARS = 10_000_000
+TRAIN_CHARS = 16_000_000
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 18
 DIMENSIONS = 8
@@ -213,17 +213,19 @@ def train(
 ) -> Softmax:
     """Fit on a bounded sample of the rows that are not held out.
 
-    At most `rows_per_class` rows of each class, and of those in turn as many whole texts as have `chars`
-    characters together, reach the driver. Of a longer text than that nothing is learned.
+    At most `rows_per_class` rows of each class reach the driver, and of those in turn the whole texts that have
+    half of `chars` characters together (`within`). They are chosen by their lengths, before texts are read. Of a
+    longer text than that nothing is learned.
     """
-    known = labelled_sample(
-        docs.select("doc_id", "text"), labels, "toxic", ~held_out(F.col("doc_id"), FOLDS, FOLD), rows_per_class
-    )
-    size = F.length(F.coalesce("text", F.lit("")))
-    some = known.where(size <= chars).withColumn(
-        "__so_far", F.sum(size).over(Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    )
-    got = some.where(F.col("__so_far") <= chars).select("text", "__label", "doc_id").orderBy("doc_id").toArrow()
+    docs = docs.select("doc_id", "text")
+    known = labelled_rows(docs, labels, "toxic", ~held_out(F.col("doc_id"), FOLDS, FOLD), rows_per_class)
+    schema, chosen = known.schema, []
+    narrow = known.orderBy(F.xxhash64("__id"), "__id", "__hash", "__size").collect()
+    for value in (0, 1):
+        some = [r for r in narrow if r["__label"] == value]
+        chosen += [some[i] for i in within([r["__size"] for r in some], chars // 2)]
+    met = rows_of(docs, docs.sparkSession.createDataFrame(chosen, schema))
+    got = met.select("text", "__label", "doc_id", "__hash").orderBy("doc_id", "__hash").toArrow()
     return fit(got.column("text").to_pylist(), np.array(got.column("__label").to_pylist(), dtype=float))
 
 

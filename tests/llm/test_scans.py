@@ -257,6 +257,20 @@ def test_labelled_sample_bounds_rows(spark):
     assert {(r.doc_id, r["__label"]) for r in got} == {(1, 1), (2, 0), (3, 1)}
 
 
+def test_toxicity_trains_beside_long_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, y: seen.append((texts, y)))
+    rows = [(k, f"text {k} " * (2000 if k % 5 == 0 else 1)) for k in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(100)], "doc_id long, toxic int")
+    toxicity.train(df, labels, chars=4_000)
+    learned = {k for k in range(100) if k % 5 and zlib.crc32(str(k).encode()) % toxicity.FOLDS != toxicity.FOLD}
+    assert sorted(t for t in seen[0][0]) == sorted(dict(rows)[k] for k in learned)
+    toxicity.train(df.where("doc_id % 5 = 0"), labels, chars=100_000)  # long texts only: some of each class
+    assert set(seen[1][1]) == {0.0, 1.0} and sum(map(len, seen[1][0])) <= 100_000
+    assert labelled.within([5, 900, 7, 2000, 1], 1000) == [0, 1, 2, 4]
+
+
 def test_text_sample_is_bounded_and_stable(spark):
     df = spark.createDataFrame([(t,) for t in [f"t{k % 40}" for k in range(200)] + [None]], "text string")
     some = labelled.text_sample(df, 10)
