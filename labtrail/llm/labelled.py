@@ -6,11 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def text_sample(texts: DataFrame, most: int) -> list[str]:
+def text_sample(texts: DataFrame, most: int, chars: int | None = None) -> list[str]:
     """At most `most` different texts of a column `text`, the first by a hash; the same on every run.
 
-    Only hashes are sorted out first, so a task hands on `most` numbers and not that many texts.
+    Only hashes are sorted out first, so a task hands on `most` numbers and not that many texts. With `chars`
+    the texts have that many characters together at most (`within`), chosen by their lengths.
     """
+    if chars is not None:
+        sized = texts.where(F.col("text").isNotNull()).select(
+            "text", F.xxhash64("text").alias("hash"), F.length("text").alias("size")
+        )
+        narrow = sized.where(F.col("size") <= chars).select("hash", "size").distinct().orderBy("hash", "size").limit(most)
+        schema, rows = narrow.schema, narrow.collect()
+        chosen = texts.sparkSession.createDataFrame([rows[i] for i in within([r["size"] for r in rows], chars)], schema)
+        met = sized.join(F.broadcast(chosen), ["hash", "size"]).groupBy("hash", "size").agg(F.min("text").alias("text"))
+        return [r["text"] for r in met.orderBy("hash", "size").collect()]
     hashed = texts.where(F.col("text").isNotNull()).select("text", F.xxhash64("text").alias("hash"))
     first = hashed.select("hash").distinct().orderBy("hash").limit(most)
     last = first.agg(F.max("hash")).first()[0]

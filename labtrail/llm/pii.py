@@ -294,9 +294,10 @@ def fit(texts: list[str], steps: int = 200, rate: float = 0.1, ridge: float = 1e
 def train(docs: DataFrame, texts: int = TRAIN_TEXTS, chars: int = TRAIN_CHARS) -> Field:
     """Fit on at most `texts` different texts that have any node, the first by a hash of the text.
 
-    Only whole texts of up to chars / texts characters are taken, so that no more than `chars` reach the driver.
+    Texts of any length are taken while they fit, so that no more than `chars` characters reach the driver; only
+    a text longer than that is never taken.
     """
-    return fit(text_sample(docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") <= chars // texts)), texts))
+    return fit(text_sample(docs.where(F.col("text").rlike("[0-9@]")), texts, chars))
 
 
 def digest(spans: list[Span]) -> str:

@@ -100,6 +100,17 @@ def test_field_adds_what_the_patterns_miss(field):
     assert added("token a8f5f167f44f4964e6c998dee827110c of 2.0.") == []
 
 
+def test_field_trains_on_long_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "fit", seen.append)
+    long = [f"{k} call +1 (784) 555-81{k} " + "word " * 900 for k in range(10, 30)]
+    df = spark.createDataFrame([(t,) for t in [*long, *long, None, "none", "z9 " * 50_000]], "text string")
+    pii.train(df, texts=40, chars=120_000)
+    assert sorted(seen[0]) == sorted(long)
+    pii.train(df, texts=40, chars=20_000)  # as many as fit
+    assert len(seen[1]) == 4 and set(seen[1]) < set(long)
+
+
 def test_find(spark, field):
     rows = [
         (1, "mail ab.91@mail3.example.com or +1 (784) 555-8120"), (2, None), (3, ""), (4, "x " * 50_000),
