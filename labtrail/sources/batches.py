@@ -16,11 +16,11 @@ def read_batches(
 ) -> DataFrame:
     """All batches of a table; `batch_id` is a partition column, so a filter on it skips folders.
 
-    With a schema no file is opened for it, and columns that older batches lack are null. Without one it is
-    that of one file.
+    With a schema no file is opened for it, and columns that older batches lack are null. Without one it has the
+    columns of all batches, for which the end of each file is read.
     """
     reader = spark.read.format(fmt)
-    return (reader.schema(schema) if schema is not None else reader).load(path)
+    return (reader.schema(schema) if schema is not None else reader.option("mergeSchema", True)).load(path)
 
 
 def list_batches(df: DataFrame) -> DataFrame:

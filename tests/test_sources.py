@@ -170,6 +170,14 @@ def test_batches(spark, rows, tmp_path):
     assert batches.latest_batch(df, before="a").count() == 0
 
 
+def test_batches_that_differ_in_columns(spark, rows, tmp_path):
+    path = str(tmp_path / "bronze")
+    write_batch(rows("x int, old string", (1, "o")), path, "siteA_20260801")
+    write_batch(rows("x int, new string", (2, "n")), path, "siteA_20260901")
+    got = {r.x: (r.old, r.new) for r in batches.read_batches(spark, path).collect()}
+    assert got == {1: ("o", None), 2: (None, "n")}
+
+
 def test_tables_and_bundles(spark, rows, tmp_path):
     df = rows("flag_a string, `x y` int", ("m", 1), (" ", 2))
     names = export_bundle({"a" * 40: df, "empty": df.limit(0), **flag_views(df, ["flag_a"])}, str(tmp_path))
