@@ -7,7 +7,9 @@ components, and a page is blocked if its component holds a blocked URL and no ex
 explicit allow thus outranks the blocks of its aliases, and a page's own rule outranks everything. What is
 tied to nothing decided is allowed.
 
-Two URLs are one node if host, path and query agree; scheme and fragment do not count. A null URL, or one
+Two URLs are one node if host, path and query agree; scheme, fragment, the scheme's default port and dot segments
+of the path do not count. Link targets are read with their character references (those that end in a semicolon)
+decoded. A null URL, or one
 without `://`, has empty host and path, no rule and no aliases, and is allowed. Each row is judged by itself,
 so repeated rows get equal verdicts; columns named like a result are replaced by it. Links are read from whole
 pages; a null page has none. Rules are a written list; each adds one comparison to the projection.
@@ -15,6 +17,7 @@ pages; a null page has none. Rules are a written list; each adds one comparison
 
 from __future__ import annotations
 
+from html.entities import html5
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,9 +63,66 @@ def _after(url: Column) -> Column:
     return F.substr(url, F.instr(url, "://") + 3)
 
 
+def _without_dots(path: Column) -> Column:
+    """A path (from its /) without . and .. segments; .. at the root stays there."""
+    parts = F.split(F.substr(path, F.lit(2)), "/")
+    left = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(s == ".", acc)
+        .otherwise(F.concat(acc, F.array(s))),
+    )
+    end = F.when(path.rlike(r"/\.{1,2}$") & (F.size(left) > 0), "/").otherwise("")
+    return F.when(path.rlike(r"(?s)^/(.*/)?\.{1,2}(/|$)"), F.concat(F.lit("/"), F.array_join(left, "/"), end)).otherwise(path)
+
+
+def _decoded(text: Column) -> Column:
+    """The text with named and numeric character references decoded; unknown names stay as written, numbers of no character are U+FFFD."""
+    names = F.str_to_map(
+        F.lit("\x1e".join(f"{k[:-1]}\x1f{v}" for k, v in html5.items() if k[-1] == ";")), F.lit("\x1e"), F.lit("\x1f")
+    )
+
+    def read(piece: Column) -> Column:
+        name = F.regexp_extract(piece, "^([A-Za-z][A-Za-z0-9]*|#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6});", 1)
+        digits = F.regexp_extract(name, "^#[xX]?([0-9A-Fa-f]+)$", 1)
+        code = F.when(
+            digits != "", F.when(name.rlike("^#[xX]"), F.conv(digits, 16, 10)).otherwise(digits).cast("long")
+        )
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        number = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, code).when(code.isNotNull(), 0xFFFD)), 8, "0")), "UTF-32")
+        char = F.when(F.startswith(name, F.lit("#")), number).when(name != "", F.element_at(names, name))
+        rest = F.substr(piece, F.length(name) + 2)
+        return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&")
+    after = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), read)
+    return F.when(F.contains(text, F.lit("&")), F.concat(pieces[0], F.array_join(after, ""))).otherwise(text)
+
+
+def _value(tag: Column, name: str) -> Column:
+    """What an attribute of a tag is set to, decoded: up to the quote it begins with, else up to a space."""
+    found = rf"""(?i)\b{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^"'\s>]+))"""
+    return _decoded(F.concat(*(F.regexp_extract(tag, found, k) for k in (1, 2, 3))))
+
+
+def _refresh_target(tag: Column) -> Column:
+    """The URL in the content of a refresh: up to the quote it begins with, else up to a space."""
+    found = r"""(?i)\burl\s*=\s*(?:"([^"]*)|'([^']*)|([^"'\s]+))"""
+    content = _value(tag, "content")
+    inside = F.concat(*(F.regexp_extract(content, found, k) for k in (1, 2, 3)))
+    # a content without quotes ends at its first space
+    loose = _decoded(F.regexp_extract(tag, r"""(?i)\burl\s*=\s*["']?([^"'\s>]+)""", 1))
+    return F.when(inside != "", inside).otherwise(loose)
+
+
 def node_of(url: Column) -> Column:
     """The URL as a node: host, path (at least /) and query. Null without a host."""
-    host, path = host_of(url), path_of(url)
+    host, path = host_of(url), _without_dots(path_of(url))
+    scheme = F.lower(F.substring_index(url, "://", 1))
+    usual = F.when(scheme == "http", "80").when(scheme == "https", "443").when(scheme == "ftp", "21").otherwise("")
+    port = F.regexp_extract(host, ":([0-9]*)$", 1)
+    host = F.when(host.rlike(":[0-9]*$") & ((port == "") | (port == usual)), F.regexp_replace(host, ":[0-9]*$", "")).otherwise(host)
     asked = F.regexp_extract(_after(url), r"(?s)^[^?#]*(\?[^#]*)", 1)
     return F.when(host != "", F.concat(host, F.when(path == "", "/").otherwise(path), asked))
 
@@ -88,19 +148,20 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
             F.regexp_extract_all(body, F.lit(r"(<[lL][iI][nN][kK][ \t\r\n][^>]*>)")),
             lambda t: F.when(
                 t.rlike(r"""(?i)\brel\s*=\s*["']?canonical\b"""),
-                F.regexp_extract(t, r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)""", 1),
+                _value(t, "href"),
             ),
         ),
         F.transform(
             F.regexp_extract_all(body, F.lit(r"(<[mM][eE][tT][aA][ \t\r\n][^>]*>)")),
             lambda t: F.when(
                 t.rlike(r"""(?i)\bhttp-equiv\s*=\s*["']?refresh\b"""),
-                F.regexp_extract(t, r"""(?i)\burl\s*=\s*["']?([^"'\s>;]+)""", 1),
+                _refresh_target(t),
             ),
         ),
     )
     found = pages.where(node_of(F.col(url)).isNotNull()).select(
-        F.col(url).alias("url"), F.explode(F.filter(F.array_compact(tags), lambda t: t != "")).alias("to")
+        F.col(url).alias("url"),
+        F.explode(F.filter(F.transform(F.array_compact(tags), lambda t: F.trim(t)), lambda t: t != "")).alias("to"),
     )
     host, path = F.regexp_extract("url", r"(?s)^(.*?://[^/?#]*)", 1), path_of(F.col("url"))
     folder = F.regexp_extract(path, "(?s)^(.*/)", 1)
@@ -109,6 +170,7 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         .when(F.startswith("to", F.lit("//")), F.concat(F.substring_index("url", "//", 1), F.col("to")))
         .when(F.startswith("to", F.lit("/")), F.concat(host, F.col("to")))
         .when(F.startswith("to", F.lit("?")), F.concat(host, path, F.col("to")))
+        .when(F.startswith("to", F.lit("#")), F.col("url"))
         .otherwise(F.concat(host, F.when(folder == "", "/").otherwise(folder), F.col("to")))
     )
     return found.select(node_of(F.col("url")).alias("a"), node_of(target).alias("b")).where("a <> b")

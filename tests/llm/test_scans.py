@@ -48,6 +48,40 @@ def test_blocks_travel_along_links(spark):
     assert urls.decide(empty, urls.page_links(empty)).count() == 0
 
 
+def test_targets_as_browsers_read_them(spark):
+    refresh = "<meta http-equiv='refresh' content={}>"
+    cases = [
+        (_link("http://t.net/x?a=1&amp;b=2"), "t.net/x?a=1&b=2"),
+        (_link("http://t.net/x?a=1&#38;b=2&#x26;c=&quot;&bogus;&#55296;&#x20AC;"), 't.net/x?a=1&b=2&c="&bogus;\ufffd€'),
+        (_link("http://t.net/x?a=1&copy=2"), "t.net/x?a=1&copy=2"),
+        (_link("../up/./y"), "p.net/a/up/y"),
+        (_link("../../../../top"), "p.net/top"),
+        (_link("."), "p.net/a/b/"),
+        (_link(".."), "p.net/a/"),
+        (_link("/..."), "p.net/..."),
+        (_link("http://T.net:80/z"), "t.net/z"),
+        (_link("https://t.net:443/z"), "t.net/z"),
+        (_link("http://t.net:443/z"), "t.net:443/z"),
+        (_link("http://t.net:/z"), "t.net/z"),
+        (_link("#part"), None),
+        (_link("it's"), "p.net/a/b/it's"),
+        (refresh.format('"0; url=http://t.net/x?a=1&amp;b=2"'), "t.net/x?a=1&b=2"),
+        (refresh.format('"0; URL=\'http://t.net/x;y=1?a=1;b=2\'"'), "t.net/x;y=1?a=1;b=2"),
+        (refresh.format('"0; url=&quot;http://t.net/x;y&quot;"'), "t.net/x;y"),
+        (refresh.format("0;url=http://t.net/x"), "t.net/x"),
+        (refresh.format("0; url=http://t.net/x"), "t.net/x"),
+        (refresh.format('"5"'), None),
+    ]
+    pages = spark.createDataFrame([(f"http://p.net:80/a/b/c?n={k}", c[0]) for k, c in enumerate(cases)], "url string, html string")
+    got = {r.a: r.b for r in urls.page_links(pages).collect()}
+    assert [got.get(f"p.net/a/b/c?n={k}") for k in range(len(cases))] == [c[1] for c in cases]
+    rows = [(1, "http://b.net/x?a=1&b=2", None), (2, "http://c.net/", _link("http://b.net/x?a=1&amp;b=2")),
+            (3, "http://d.net/", _link("http://c.net:80/q/..")), (4, "http://b.net/y", _link("http://a.com/x/../de/"))]
+    rows += [(5, "http://e.net/", _link("http://b.net/y", "http://d.net/"))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.verdict for r in urls.decide(df, urls.page_links(df)).collect()} == {"block"}
+
+
 # ---------------------------------------------------------------- personal data
 
 PATTERNS = {
