@@ -37,6 +37,7 @@ SCALE, TOP, EVERY = 1024, 10, 100
 BLOCK = 8
 QUERY_GROUP = 1 << 16  # queries a task holds
 SLICE = 1 << 22  # candidates a task reads
+LEAST_SLICE = 1 << 10  # fewer are not worth a slice, and each slice hands on its own best of each query
 CELLS = 2  # cells for each shuffle partition, at least
 
 
@@ -164,7 +165,8 @@ def top_k(
     many, asked = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("asked").cast("long")), F.lit(0))).first()
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = max(1, -(-asked // query_group))
-    slices = max(1, -(-CELLS * partitions // groups), -(-many // slice_rows))
+    worth = min(-(-CELLS * partitions // groups), -(-many // LEAST_SLICE))
+    slices = max(1, worth, -(-many // slice_rows))
 
     def dealt(some: DataFrame, own: int, others: int, cell) -> DataFrame:
         """Rows in the cells of their own share with each of the other's shares."""
