@@ -13,7 +13,8 @@ itself: repeated rows get equal scores. Columns named like a result are replaced
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,6 +31,7 @@ TRAIN_ROWS_PER_CLASS = 3_000
 TRAIN_CHARS = 16_000_000
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 18
+BLOCK_GRAMS = 1 << 20
 DIMENSIONS = 8
 STRETCH = 2
 BLANK_TO_SPACE = str.maketrans("\t\n\x0b\f\r", "     ")
@@ -73,16 +75,49 @@ def _grams(words: list[str], sizes, buckets: int) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(hashed)[order].astype(np.int32), np.bincount(of, minlength=len(words))
 
 
+class Bags:
+    """The n-grams of words, gone through in blocks so that no array but their ids is as long as they are."""
+
+    def __init__(self, words: list[str], sizes=SIZES, buckets: int = BUCKETS):
+        self.ids, self.first = grams(words, sizes, buckets)
+        self.many = np.diff(np.append(self.first, len(self.ids)))
+        self.buckets = buckets
+
+    def blocks(self) -> Iterator[tuple[slice, np.ndarray]]:
+        """The words of each block, as a slice, and their n-grams."""
+        ends = np.append(self.first, len(self.ids))
+        a = 0
+        while a < len(self.many):
+            z = max(a + 1, int(np.searchsorted(ends, ends[a] + BLOCK_GRAMS, side="right")) - 1)
+            yield slice(a, z), self.ids[ends[a] : ends[z]]
+            a = z
+
+    def means(self, lean: np.ndarray) -> np.ndarray:
+        """The mean of each word's n-grams."""
+        out = np.empty(len(self.many))
+        for words, ids in self.blocks():
+            out[words] = np.add.reduceat(lean[ids], self.first[words] - self.first[words.start])
+        return out / self.many
+
+    def sums(self, by_word: np.ndarray) -> np.ndarray:
+        """What each n-gram gets from its words, in equal shares of the n-grams of a word."""
+        share = by_word / self.many
+        out = np.zeros(self.buckets)
+        for words, ids in self.blocks():
+            out += np.bincount(ids, np.repeat(share[words], self.many[words]), self.buckets)
+        return out
+
+
 class Texts:
     """Texts as word numbers: `kinds` are the distinct words, `tokens` the texts' words one after another."""
 
-    def __init__(self, texts: list[str | None]):
+    def __init__(self, texts: Iterable[str | None]):
         kinds: dict[str, int] = {}
-        counts, tokens = [], []
+        counts, tokens = array("q"), array("i")
         for text in texts:
-            words = [w for w in (text or "").translate(BLANK_TO_SPACE).split(" ") if w] if text else []
+            words = [w for w in text.translate(BLANK_TO_SPACE).split(" ") if w] if text else []
             counts.append(len(words))
-            tokens += [kinds.setdefault(w, len(kinds)) for w in words]
+            tokens.extend(kinds.setdefault(w, len(kinds)) for w in words)
         self.kinds = list(kinds)
         self.tokens = np.array(tokens, dtype=np.int32)
         self.counts = np.array(counts, dtype=np.int64)
@@ -97,7 +132,7 @@ class Texts:
         first = np.concatenate([[0], np.cumsum(n)[:-1]])
         stretch = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
         begin = np.repeat(first, many) + stretch * np.repeat(n, many) // np.repeat(many, many)
-        size = np.diff(np.append(begin, n.sum()))
+        size = np.diff(np.append(begin, n.sum())).astype(np.int32)
         return begin, size, np.cumsum(many) - many
 
 
@@ -124,8 +159,7 @@ class Scorer:
         """Of each text, the margin of its most toxic stretch."""
         out = np.full(len(texts.counts), self.bias)
         if len(texts.kinds):
-            ids, first = grams(texts.kinds, buckets=len(self.lean))
-            word = np.add.reduceat(self.lean[ids], first) / np.diff(np.append(first, len(ids)))
+            word = Bags(texts.kinds, buckets=len(self.lean)).means(self.lean)
             begin, size, of = texts.stretches(self.width)
             mean = np.add.reduceat(word[texts.tokens], begin) / size
             out[texts.counts > 0] += np.maximum.reduceat(mean, of)
@@ -136,7 +170,7 @@ class Scorer:
 
 
 def fit(
-    texts: list[str | None], y: np.ndarray, warm: int = 30, steps: int = 50, width: int = STRETCH, seed: int = 7,
+    texts: Iterable[str | None], y: np.ndarray, warm: int = 30, steps: int = 50, width: int = STRETCH, seed: int = 7,
     buckets: int = BUCKETS, dimensions: int = DIMENSIONS, hardest: float = 10.0,
 ) -> Softmax:
     """Full-batch gradient steps on the logistic loss of stretches, the two classes weighing alike.
@@ -159,13 +193,11 @@ def fit(
     model.biases[:] = 0
     read = Texts(texts)
     y = y[read.counts > 0].astype(float)
-    ids, first = grams(read.kinds, buckets=buckets)
-    per_word = np.diff(np.append(first, len(ids)))
-    kind_of = np.repeat(np.arange(len(read.kinds), dtype=np.int32), per_word)
+    bags = Bags(read.kinds, buckets=buckets)
+    read.kinds.clear()  # only their n-grams are needed from here on
     begin, size, of = read.stretches(width)
     many = np.diff(np.append(of, len(begin)))
     text_of = np.repeat(np.arange(len(of), dtype=np.int32), many)
-    stretch_of = np.repeat(np.arange(len(begin), dtype=np.int32), size)
     clean = y[text_of] == 0
     toxic_weight, clean_weight = 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1)
     values = (model.embeddings, model.weights, model.biases)
@@ -178,8 +210,7 @@ def fit(
 
     for t in range(1, steps + 1):
         # forward: one number a word, a mean a stretch
-        word = np.add.reduceat(model.lean()[ids], first) / per_word
-        mean = np.add.reduceat(word[read.tokens], begin) / size
+        mean = np.add.reduceat(bags.means(model.lean())[read.tokens], begin) / size
         lead = mean - np.maximum.reduceat(mean, of)[text_of]
         p = 1 / (1 + np.exp(-np.clip(mean + model.biases[1] - model.biases[0], -30, 30)))
         heat = min(hardest, 1.5 * hardest * (t / steps) ** 2)
@@ -189,8 +220,7 @@ def fit(
         if 3 * t > steps:  # the leading stretch of a clean text decides its score
             slope += np.where(clean, p * attention(lead, 2 * hardest) * clean_weight, 0)
         # backward: by words, then by their n-grams
-        by_word = np.bincount(read.tokens, (slope / size)[stretch_of], len(read.kinds)) / per_word
-        by_gram = np.bincount(ids, by_word[kind_of], buckets)
+        by_gram = bags.sums(np.bincount(read.tokens, np.repeat(slope / size, size), len(bags.many)))
         apart = model.weights[:, 1] - model.weights[:, 0]
         pull = by_gram @ model.embeddings
         grads = (
@@ -226,7 +256,11 @@ def train(
         chosen += [some[i] for i in within([r["__size"] for r in some], chars // 2)]
     met = rows_of(docs, docs.sparkSession.createDataFrame(chosen, schema))
     got = met.select("text", "__label", "doc_id", "__hash").orderBy("doc_id", "__hash").toArrow()
-    return fit(got.column("text").to_pylist(), np.array(got.column("__label").to_pylist(), dtype=float))
+    labels = got.column("__label").to_numpy().astype(float)
+    # one text after another leaves the table, which is gone before the steps begin
+    texts = (text.as_py() for chunk in got.column("text").chunks for text in chunk)
+    del got
+    return fit(texts, labels)
 
 
 def classify(docs: DataFrame, model: Softmax, threshold: float = THRESHOLD) -> DataFrame:
