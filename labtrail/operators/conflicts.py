@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labtrail.operators.joins import attach
+
 SAMPLE_PARAMETER = ("nomeAmostra", "parametroOriginal")
 
 
@@ -15,12 +17,14 @@ def exclude_conflicts(
 ) -> DataFrame:
     """Drop all rows of a key that has different results. Rows with a null key stay.
 
-    The smallest and the largest result of a key differ exactly when there are several. Only the
-    conflicting keys are joined, and a hot key's rows are split by adaptive skew handling.
+    The smallest and the largest result of a key differ exactly when there are several. The verdicts go back to
+    the rows by `attach`, with the count of each key as its weight, so a hot key's rows spread over the tasks.
     """
-    conflicts = df.groupBy(*keys).agg(F.min(value).alias("_low"), F.max(value).alias("_high")).where("_low <> _high")
-    kept = df.join(conflicts.select(*keys), list(keys), "left_anti")
-    return kept.select(*[F.col(f"`{c}`") for c in df.columns])
+    verdicts = df.groupBy(*keys).agg(
+        F.when(F.min(value) != F.max(value), F.lit(True)).alias("_conflict"), F.count("*").alias("_rows")
+    )
+    judged = attach(df, verdicts, keys, weight="_rows").where(F.col("_conflict").isNull())
+    return judged.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def conflict_report(

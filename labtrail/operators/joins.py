@@ -98,7 +98,8 @@ def lookup_join(
 ) -> DataFrame:
     """Left-join a lookup, one row per key at most.
 
-    No hint: Spark broadcasts a lookup whose size in bytes allows it, and splits hot keys of any other
-    (adaptive skew handling).
+    No hint: Spark broadcasts a lookup whose size in bytes allows it. For a lookup that grows with the rows, whose
+    keys may be hot, use `attach`: adaptive execution does not split a join whose one side is an aggregate by
+    the join's key, as the unique lookup is.
     """
     return rows.join(unique_lookup(lookup, on, on_duplicate), list(on), "left")

@@ -74,19 +74,21 @@ def pair_order_check(
     part, whole: which rows are the two sides. keys: what pairs them (name -> expression).
     mode: `pair` flags the rows of the two sides, `rows` every row that shares the key.
 
-    The largest part against the smallest whole tells whether any pair fails, so pairs are never formed. Only
-    the failing keys are joined to the rows; adaptive skew handling splits the rows of a hot one.
+    The largest part against the smallest whole tells whether any pair fails, so pairs are never formed. The
+    verdicts go back to the rows by `attach`, which spreads the rows of hot keys.
     """
     names = [f"_key_{k}" for k in keys]
     keyed = df.withColumns({"_is_part": part, "_is_whole": whole, **dict(zip(names, keys.values()))})
     side = F.col("_is_part") | F.col("_is_whole")
-    extremes = keyed.where(side).groupBy(*names).agg(
+    verdicts = keyed.groupBy(*names).agg(
         F.max(F.when(F.col("_is_part"), F.col("value"))).alias("_part"),
         F.min(F.when(F.col("_is_whole"), F.col("value"))).alias("_whole"),
+        F.count("*").alias("_rows"),
     )
-    failing = extremes.where(exceeds(F.col("_part"), F.col("_whole"))).select(*names, F.lit(True).alias("_fails"))
+    fails = F.when(exceeds(F.col("_part"), F.col("_whole")), F.lit(True)).alias("_fails")
     raised = F.col("_fails") & side if mode == "pair" else F.col("_fails")
-    checked = keyed.join(failing, names, "left").withColumn(flag, F.when(raised, F.lit(message)))
+    told = attach(keyed, verdicts.select(*names, fails, "_rows"), names, weight="_rows")
+    checked = told.withColumn(flag, F.when(raised, F.lit(message)))
     return checked.select(*[F.col(f"`{c}`") for c in df.columns], flag)
 
 
@@ -136,23 +138,21 @@ def species_check(
     A species reported more than once counts with its smallest value.
     """
     listed = _name().isin(*species.values())
-    per_sample = (
-        df.where(in_water(excluded_samples) & listed)
-        .groupBy("sample_name")
-        .agg(
-            *[F.min(F.when(_name() == name, F.col("value"))).alias(f"_s_{s}") for s, name in species.items()],
-        )
+    counts = in_water(excluded_samples) & listed
+    per_sample = df.groupBy("sample_name").agg(
+        *[F.min(F.when(counts & (_name() == n), F.col("value"))).alias(f"_s_{s}") for s, n in species.items()],
+        F.count("*").alias("_rows"),
     )
     broken = [(F.col(f"_s_{a}") > F.col(f"_s_{b}"), message) for a, b, message in rules]
-    failing = per_sample.select("sample_name", join_messages(*broken).alias("_broken")).where("_broken is not null")
-    checked = df.join(failing, "sample_name", "left").withColumn(flag, F.when(listed, F.col("_broken")))
+    verdicts = per_sample.select("sample_name", join_messages(*broken).alias("_broken"), "_rows")
+    checked = attach(df, verdicts, ["sample_name"], weight="_rows").withColumn(flag, F.when(listed, F.col("_broken")))
     return checked.select(*[F.col(f"`{c}`") for c in df.columns], flag)
 
 
 def replica_pairs(df: DataFrame, parent: str = "parent") -> DataFrame:
     """(original, replica) sample names, read from a column that names the original."""
     return (
-        df.where(F.col(parent).isNotNull() & (F.col(parent) != F.col("sample_name")))
+        df.where((F.trim(parent) != "") & (F.col(parent) != F.col("sample_name")))
         .select(F.col(parent).alias("original"), F.col("sample_name").alias("replica"))
         .distinct()
     )
@@ -183,9 +183,16 @@ def _differences(values: DataFrame, pairs: DataFrame) -> DataFrame:
 def replica_rpd(df: DataFrame, pairs: DataFrame, limit: float = RPD_LIMIT) -> DataFrame:
     """Flag the rows of both samples of a pair whose values differ by more than `limit` percent."""
     keys = ["sample_name", "chemical_name"]
-    values = df.groupBy(*keys).agg(F.min("value").alias("value"))
+    values = df.groupBy(*keys).agg(F.min("value").alias("value"), F.count("*").alias("_rows"))
     failing = _failing_replicas(values, pairs, limit).withColumn("flag_rpd", F.lit(f"RPD > {limit:g}%"))
-    return df.join(failing, keys, "left").select(*[F.col(f"`{c}`") for c in df.columns], "flag_rpd")
+    verdicts = (
+        values.select(*keys, "_rows")
+        .unionByName(failing, allowMissingColumns=True)
+        .groupBy(*keys)
+        .agg(F.max("flag_rpd").alias("flag_rpd"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows"))
+    )
+    told = attach(df, verdicts, keys, weight="_rows")
+    return told.select(*[F.col(f"`{c}`") for c in df.columns], "flag_rpd")
 
 
 def _failing_replicas(values: DataFrame, pairs: DataFrame, limit: float) -> DataFrame:

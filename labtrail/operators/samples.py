@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from labtrail.functions import clean_sample_name
 from labtrail.operators.joins import attach, lookup_join, unique_lookup
+from labtrail.operators.outputs import append_new
 from labtrail.schemas import STATION_CODE
+from labtrail.sources.paths import scratch_folder
 
 NO_STATION = "Amostra sem correspondencia em df_station"
 NAME = "descricaoAmostra"
@@ -72,3 +74,52 @@ def unmapped_to_append(unmapped: DataFrame, listed: DataFrame, project: str | No
         "matriz",
         F.lit(project).cast("string").alias("source_project"),
     )
+
+
+def append_unmapped(unmapped: DataFrame, path: str, project: str | None, batch_id: str) -> None:
+    """Append the samples without a station to the correction table at `path`, each name once; see `append_new`."""
+    nothing = unmapped.select(F.lit(None).cast("string").alias("descricaoAmostra_de")).limit(0)
+    rows = unmapped_to_append(unmapped.where(F.col(NAME).isNotNull()), nothing, project)
+    append_new(rows, path, ["descricaoAmostra_de"], batch_id)
+
+
+def first_samples(df: DataFrame, name: str = "sample_name", parent: str = "parent") -> DataFrame:
+    """Each sample that names a parent, with the first sample of its chain and the steps to it.
+
+    `name`, `first`, `steps` and `cycle`: a sample whose parents lead back to one another has `cycle` true and
+    no first sample. A sample that names itself, nothing or a blank starts a chain and is not listed; one that names
+    several parents counts with the least. A parent that is no sample itself is the first of its chain.
+
+    Chains are followed by doubling: each round joins what every sample points to with what that one points to,
+    so a chain of a thousand samples takes ten rounds. Only links travel, and each round is written to the
+    cluster's shared folder. Once the steps exceed the number of links, whoever
+    still points on is in or behind a cycle.
+    """
+    spark, own = df.sparkSession, F.col(f"`{name}`")
+    links = (
+        df.where((F.trim(f"`{parent}`") != "") & (F.col(f"`{parent}`") != own))
+        .groupBy(own.alias("name"))
+        .agg(F.min(f"`{parent}`").alias("to"))
+    )
+
+    def written(rows: DataFrame) -> DataFrame:
+        folder = scratch_folder(spark, "chains")
+        rows.write.parquet(folder)
+        return spark.read.schema(rows.schema).parquet(folder)
+
+    now = written(links.select("name", "to", F.lit(1).cast("long").alias("steps"), F.lit(True).alias("open")))
+    rounds = now.count().bit_length() + 1  # the last one finds out who has arrived
+    for _ in range(rounds):
+        ahead = now.select(F.col("name").alias("to"), F.col("to").alias("_to"), F.col("steps").alias("_steps"))
+        met = now.join(ahead, "to", "left")
+        now = written(met.select(
+            "name", F.coalesce("_to", "to").alias("to"),
+            (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"), F.col("_to").isNotNull().alias("open"),
+        ))
+        if not now.where("open").head(1):
+            break
+    loops = F.col("open")
+    return now.select(
+        F.col("name").alias(name), F.when(~loops, F.col("to")).alias("first"), F.when(~loops, F.col("steps")).alias("steps"),
+        loops.alias("cycle"),
+    )

@@ -42,8 +42,13 @@ def quality_summary(checked: DataFrame, rules: ProjectRules) -> DataFrame:
 
 
 def newest_quality_checks(
-    sources: Mapping[str, DataFrame], rules: ProjectRules, pairs: DataFrame | None = None, mode: str = "pair"
-) -> DataFrame:
-    """All checks over the newest batch of each source (tables with `batch_id`), as one plan."""
-    newest = {name: latest_batch(df, by=[source_prefix(F.col(BATCH))]) for name, df in sources.items()}
+    sources: Mapping[str, DataFrame], rules: ProjectRules, pairs: DataFrame | None = None, mode: str = "pair",
+    names: Mapping[str, DataFrame] = {},
+) -> DataFrame:
+    """All checks over the newest batch of each source (tables with `batch_id`), as one plan.
+
+    names: the batches of a source (`batch_names`), so that the folders of older ones are not read.
+    """
+    prefix = [source_prefix(F.col(BATCH))]
+    newest = {name: latest_batch(df, prefix, names=names.get(name)) for name, df in sources.items()}
     return quality_checks(union_sources(newest), rules, pairs, mode)

@@ -35,6 +35,11 @@ def intake_flat(sheet: DataFrame, rules: ProjectRules, laboratory: str, origin:
     )
 
 
+def canonical_pair(sample: DataFrame, analysis: DataFrame, laboratory: str, origin: str) -> DataFrame:
+    """All rows of a two-table delivery, of whatever campaign."""
+    return canonical_from_pair(join_pair(*resolve_pair(sample, analysis)), laboratory, origin)
+
+
 def intake_pair(
     sample: DataFrame, analysis: DataFrame, rules: ProjectRules, laboratory: str, origin: str
 ) -> DataFrame:

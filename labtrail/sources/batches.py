@@ -47,7 +47,41 @@ def newest_batches(batches: DataFrame, by: Sequence[Column] = (), before: str |
     return batches.groupBy(*by).agg(F.max_by(BATCH, order).alias(BATCH))
 
 
-def latest_batch(df: DataFrame, by: Sequence[Column] = (), before: str | None = None) -> DataFrame:
-    """The rows of the newest batch (per `by`): a semi join with the newest names, so nothing runs early."""
-    newest = newest_batches(df.select(BATCH).distinct(), by, before).select(BATCH)
-    return df.join(newest, BATCH, "left_semi").select(*[F.col(f"`{c}`") for c in df.columns])
+def batch_names(spark: SparkSession, path: str) -> DataFrame:
+    """The batches of a table that Spark writes in folders, from the names of its folders alone.
+
+    Files are listed when the plan runs and none is opened.
+    """
+    folder = F.regexp_extract("path", f"/{BATCH}=([^/]+)/", 1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    # a folder name has its special characters as %XX; a plus sign stands for itself
+    name = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    return files.where(folder != "").select(name.alias(BATCH)).distinct()
+
+
+def latest_batch(
+    df: DataFrame, by: Sequence[Column] = (), before: str | None = None, names: DataFrame | None = None
+) -> DataFrame:
+    """The rows of the newest batch (per `by`). Nothing runs before the plan does.
+
+    The newest names, one for each group of `by`, are a subquery within the filter on `batch_id`. Spark runs it first,
+    and where `batch_id` is a partition column only the folders that pass are read.
+
+    names: the batches there are (`batch_names`). Without it they are read from `df`, whose other columns are left
+    out but whose files are opened all the same.
+    """
+    batches = df.select(BATCH).distinct() if names is None else names
+    newest = newest_batches(batches, by, before).agg(F.collect_set(BATCH))
+    return df.where(F.array_contains(newest.scalar(), F.col(BATCH)))
+
+
+def read_latest(
+    spark: SparkSession,
+    path: str,
+    by: Sequence[Column] = (),
+    before: str | None = None,
+    fmt: str = "parquet",
+    schema: StructType | str | None = None,
+) -> DataFrame:
+    """The newest batch (per `by`) of a table, without reading the others. Give a schema, as in `read_batches`."""
+    return latest_batch(read_batches(spark, path, fmt, schema), by, before, batch_names(spark, path))

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 
 from labtrail.schemas import STATION_CODE
-from labtrail.sources.sheets import read_sheet, resolve_columns
+from labtrail.sources.paths import exists
+from labtrail.sources.sheets import read_sheet, require_columns, resolve_columns
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -43,6 +45,47 @@ def read_lookup(
     return rules.where(F.col(target).isNotNull()) if target else rules
 
 
+def read_rules(
+    spark: SparkSession,
+    path: str,
+    columns: Mapping[str, Sequence[str]],
+    optional: Mapping[str, Sequence[str]] = {},
+    target: str | None = None,
+    project: str | None = None,
+    types: Mapping[str, str] = {},
+    fmt: str = "csv",
+) -> DataFrame:
+    """A landed rule table that may not be there: the same columns and types whether it is or not.
+
+    A path that does not exist, a file without anything in it and a sheet of headers alone all give a table
+    without rows, so the plan that uses it keeps its shape. A sheet that has headers must have those of all
+    `columns`; what is missing is named. `types` casts columns, others are text; a cell that does not read as its
+    type is null.
+    """
+    names = (*columns, *optional)
+    schema = StructType([StructField(n, _parse_datatype_string(types.get(n, "string"))) for n in names])
+    sheet = _landed(spark, path, fmt)
+    if sheet is None or not sheet.columns:
+        return empty(spark, schema)
+    if project is not None:
+        sheet = for_project(sheet, project)
+    rules = resolve_columns(require_columns(sheet, columns, path), columns, optional)
+    typed = rules.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+    return typed.where(F.col(target).isNotNull()) if target else typed
+
+
+def _landed(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    """The sheet at a path, None if there is none."""
+    if not exists(spark, path):
+        return None
+    try:
+        return read_sheet(spark, path, fmt)
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without files
+            return None
+        raise
+
+
 def station_dim(stations: DataFrame, samples: DataFrame, source_project: str) -> DataFrame:
     """Sample names with their station, for one project.
 
