@@ -6,7 +6,8 @@ hashes are one matrix product, and the chunk hashes fold by length-shifted arith
 
 Nulls count as empty texts and all empty texts are equal. Repeated rows (even with one doc_id) are copies of
 each other: exactly one of them stays, any of those that are alike in all columns. A null doc_id counts as
-larger than every number. Columns that are named like a result are replaced by it.
+larger than every number. Columns that are named like a result are replaced by it. Texts of any length are read
+whole, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labtrail.llm.common import BLANKS, query, staged, table
+from labtrail.operators.joins import attach
 
 # Four pairs of a 31-bit prime and a point; odds of two given texts of n bytes meeting in all are (n / 2^31)^4.
 POINTS = ((2147483647, 1103515245), (2147483629, 1597334677), (2147483587, 747796405), (2147483579, 1181783497))
@@ -109,15 +111,19 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", po
     first = F.min(F.struct(F.col("__id").isNull().alias("no_id"), F.col("__id").alias("id"), F.col("__at").alias("at")))
 
     def grouped(rows: DataFrame, key: list[str]) -> DataFrame:
+        """What its group tells each row, by `__at`. Only keys travel, and `attach` spreads the rows of large groups."""
         groups = rows.groupBy(*key).agg(first.alias("__first"), F.count(F.lit(1)).alias("__n"))
-        return rows.join(groups, key)
+        weighed = groups.withColumn("__weight", F.col("__n"))
+        return attach(rows.select("__at", *key), weighed, key, weight="__weight").select("__at", "__first", "__n")
 
     # Rows with one fingerprint are cut into chunks; each chunk's least and greatest content must agree.
-    # Copies meet in the partial aggregate of the task that reads them, so a large group is not sent anywhere.
-    shared = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # The texts are dealt out by row number, so those of a large group lie in all tasks, whose partial aggregates
+    # leave one row a chunk.
+    told = staged(grouped(rows, key), "groups")
+    shared = told.where("__n > 1").select("__at")
     again = F.regexp_replace(F.coalesce(F.col("__row").getField(text), F.lit("")), BLANKS, " ")
     chunks = (
-        rows.join(shared, key)
+        rows.join(shared, "__at")
         .select(*key, again.cast("binary").alias("body"))
         .select(
             *key,
@@ -137,12 +143,11 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", po
         .distinct()
     )
     unlike = staged(unlike, "collisions")
-    if unlike.isEmpty():
-        out = grouped(rows, key)
-    else:  # different texts that share a fingerprint are told apart by the texts themselves
+    if not unlike.isEmpty():  # different texts that share a fingerprint are told apart by the texts themselves
         met = rows.join(unlike, key, "left_semi").withColumn("__whole", again)
-        apart = grouped(met, [*key, "__whole"]).drop("__whole")
-        out = grouped(rows.join(unlike, key, "left_anti"), key).unionByName(apart)
+        sure = rows.join(unlike, key, "left_anti").select("__at")
+        told = told.join(sure, "__at", "left_semi").unionByName(grouped(met, [*key, "__whole"]))
+    out = rows.join(told, "__at")
     return out.select(
         "__row.*",
         F.col("__first.id").alias("keep_id"),
