@@ -9,17 +9,18 @@
    pair with m of n values equal reaches the threshold is that of at most m successes in n + 1 tries at
    the threshold; the pair is dropped as soon as that falls below 1e-6. What is left links representatives into
    tight clusters.
-4. Within each cluster every pair is verified exactly, on the shingles of the whole texts.
+4. Within each cluster every pair whose sizes allow it is verified exactly, on the shingles of the whole texts.
 
-A bucket or cluster of any size is cut into blocks, and a task compares two blocks at a time. It returns links
+A bucket or cluster of any size is cut into blocks, and a task compares two blocks at a time; blocks of a cluster hold
+sets alike in size and meet only where the sizes can reach the threshold. It returns links
 counted per document and the ends of a spanning forest, never the pairs; what it holds in memory is two blocks.
 
 Every row comes back with class_id, the least doc_id of its class (the documents tied by links, directly or
 through others), n_links, the number of other rows that are at least 0.8 like it, copies included, and kept,
 true for one row of each class, the one with the least doc_id. Texts without words (null, empty, blank) are
 like nothing: class_id is their own doc_id, n_links 0, kept true. Null ids count as larger than any number; a
-class without any id has class_id null. Of repeated rows one is kept. Columns named like a result are
-replaced by it.
+class without any id has class_id null. Of repeated rows one is kept. Texts of any length are read whole. An empty
+table gives no rows. Columns named like a result are replaced by it.
 """
 
 from __future__ import annotations
@@ -32,11 +33,12 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from labtrail.llm.common import components, query, staged, table
+from labtrail.operators.joins import attach
 
 WIDTH = 5
 THRESHOLD = Fraction(4, 5)
@@ -44,6 +46,7 @@ BANDS, ROWS = 40, 5
 CHECKED, STEP = 64, 16
 TOLERANCE = 1e-6
 BLOCK = 1024
+BLOCK_SHINGLES = 1 << 20
 CACHED_WORDS = 100_000
 BLANKS_TO_SPACE = str.maketrans("\t\n\x0b\f\r", "     ")
 
@@ -180,6 +183,45 @@ def in_blocks(members: DataFrame, key: str, size: str) -> DataFrame:
     ).repartition(F.col(key), "lo", "hi").sortWithinPartitions(key, "lo", "hi")
 
 
+def in_reach(members: DataFrame, key: str) -> DataFrame:
+    """`members` once for each pair of blocks that may hold pairs at the threshold: columns lo, hi, and side.
+
+    Sets at the threshold are alike in size, so the members of a key fall into classes by size, each reaching up to
+    the threshold's inverse times the one before, and a class meets itself and its two neighbours only. Classes are
+    cut into blocks of bounded members and shingles. Sizes of classes come by `attach`, so a large key spreads.
+    """
+    ratio = float(1 / THRESHOLD)
+    level = F.floor(F.log(F.col("n").cast("double")) / math.log(ratio)).cast("int")
+    members = members.withColumn("__level", level)
+    holds = F.greatest(F.lit(1), F.least(F.lit(2 * BLOCK), F.floor(BLOCK_SHINGLES / F.pow(F.lit(ratio), F.col("__level") + 1))))
+    classes = members.groupBy(key, "__level").agg(F.count(F.lit(1)).alias("__many"))
+    classes = classes.withColumn("__blocks", F.ceil(F.col("__many") / holds).cast("int"))
+    row = Window.partitionBy(key).orderBy("__level")
+
+    def beside(step: int) -> Column:
+        """Blocks of the neighbouring class, none if there is no such class."""
+        met = F.lag("__level", -step).over(row) == F.col("__level") + step
+        return F.when(met, F.lag("__blocks", -step).over(row)).otherwise(0)
+
+    classes = classes.withColumns({"__below": beside(-1), "__above": beside(1)})
+    told = attach(members, classes, [key, "__level"], weight="__many")
+
+    def places(step: int, blocks: str) -> Column:
+        first = (F.col("__level") + step).cast("long") * 2**32
+        numbers = F.sequence(F.lit(0), F.greatest(F.col(blocks) - 1, F.lit(0)))
+        return F.when(F.col(blocks) > 0, F.transform(numbers, lambda b: first + b)).otherwise(F.array().cast("array<bigint>"))
+
+    own = F.col("__level").cast("long") * 2**32 + F.pmod(F.xxhash64("at"), F.col("__blocks"))
+    others = F.concat(places(-1, "__below"), places(0, "__blocks"), places(1, "__above"))
+    dealt = told.withColumn("__own", own).withColumn("__other", F.explode(others))
+    return dealt.select(
+        *[c for c in members.columns if c != "__level"],
+        F.least("__own", "__other").alias("lo"),
+        F.greatest("__own", "__other").alias("hi"),
+        (F.col("__own") > F.col("__other")).cast("int").alias("side"),
+    )
+
+
 def by_block(rows: DataFrame, key: str, run: Callable[[dict, bool], list[tuple]], schema: str, kinds) -> DataFrame:
     """`run(columns, apart)` on the rows of each pair of blocks; apart: the two blocks are different ones."""
 
@@ -315,13 +357,13 @@ def near_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     )
     clusters = staged(components(pruned), "clusters")
 
-    sizes = clusters.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    known = clusters.join(sizes, "root").withColumnRenamed("node", "at").join(sets.select("at", "copies"), "at")
-    texts = rows.select("at", F.col("__row").getField(text).alias("text")).join(known, "at")
+    # Which blocks meet is worked out on narrow rows; the texts join them last.
+    known = clusters.withColumnRenamed("node", "at").join(sets.select("at", "copies", "n"), "at")
+    texts = rows.select("at", F.col("__row").getField(text).alias("text")).join(in_reach(known, "root").drop("n"), "at")
+    texts = texts.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi")
     verified = by_block(
-        in_blocks(texts, "root", "size"), "root", _verify, "node bigint, links bigint, tree bigint",
-        [pa.int64(), pa.int64(), pa.int64()],
-    )
+        texts, "root", _verify, "node bigint, links bigint, tree bigint", [pa.int64(), pa.int64(), pa.int64()]
+    )
     verified = staged(verified, "links")
     links = verified.groupBy("node").agg(F.sum("links").alias("links")).withColumnRenamed("node", "at")
     tied = components(verified.select(F.col("node").alias("a"), F.col("tree").alias("b")))

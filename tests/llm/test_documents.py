@@ -127,6 +127,33 @@ def test_near_groups(spark, monkeypatch, block):
     assert jaccard.near_groups(_docs(spark)).count() == 0
 
 
+@pytest.mark.parametrize("shingles", [1 << 20, 300])
+def test_clusters_of_growing_texts(spark, monkeypatch, shingles):
+    """Prefixes of one text, each a few words longer: neighbours are alike, far ones are not; none is lost."""
+    monkeypatch.setattr(jaccard, "BLOCK_SHINGLES", shingles)
+    words = [f"w{i}" for i in range(900)]
+    rows = [(i, " ".join(words[:n]), "s") for i, n in enumerate(range(30, 900, 6))]
+    want = brute_classes({i: text for i, text, _ in rows})
+    got = {r.doc_id: (r.class_id, r.n_links) for r in jaccard.near_groups(_docs(spark, *rows)).collect()}
+    assert got == want
+
+
+def test_blocks_meet_where_sizes_allow(spark, monkeypatch):
+    """Every pair at the threshold meets exactly once, and rows go to a part of their cluster's blocks."""
+    monkeypatch.setattr(jaccard, "BLOCK", 4)
+    sizes = [1, 2, 3, 4, 5, 6, 10, 12, 15, 100, 101, 124, 125, 126, 156, 157, 10_000] * 3 + list(range(200, 400))
+    members = spark.createDataFrame([(7, i, n) for i, n in enumerate(sizes)], "root long, at long, n long")
+    met, rows = Counter(), jaccard.in_reach(members, "root").collect()
+    blocks = defaultdict(lambda: ([], []))
+    for r in rows:
+        blocks[r.lo, r.hi][r.side].append(r["at"])
+    for (lo, hi), (left, right) in blocks.items():
+        met.update((min(a, b), max(a, b)) for k, a in enumerate(left) for b in (right if lo != hi else left[k + 1 :]))
+    able = {(a, b) for a in range(len(sizes)) for b in range(a + 1, len(sizes)) if 5 * min(sizes[a], sizes[b]) >= 4 * max(sizes[a], sizes[b])}
+    assert able <= set(met) and set(met.values()) == {1}
+    assert len(rows) < len(sizes) * len({lo for lo, _ in blocks})
+
+
 def test_bayesian_pruning_keeps_what_may_reach_the_threshold():
     assert [jaccard.fewest_matches(n) for n in (16, 64)] == sorted(jaccard.fewest_matches(n) for n in (16, 64))
     chance = np.random.default_rng(1)
