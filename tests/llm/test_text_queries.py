@@ -79,3 +79,43 @@ def brute_classes(texts):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     return {d: (find(d), links[d]) for d in ids}
+
+
+CLASHING = ("size", "copies", "Source_Size", "target", "kept", "class_id", "N_LINKS", "keep_id", "predicted", "score", "__row", "__at", "a.b")
+
+
+def test_pipeline_hands_on_any_column(spark, tmp_path):
+    """Extra columns named like what operators add, nulls in all columns, empty, repeated and long texts."""
+    import corpus_pipeline as p
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").orderBy("doc_id").limit(40)
+    odd = [(None, None, None, None, None), (900, "", "xx", "s", 0), (900, "", "xx", "s", 0), (901, "word " * 30_000, None, None, 9)]
+    odd += [(None, "some words without an id, but good ones all the same", "en", None, None)]
+    docs = docs.union(spark.createDataFrame(odd, docs.schema))
+    more = {c: F.concat(F.lit(f"{c}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for c in CLASHING}
+    docs = docs.select("*", *[v.alias(c) for c, v in more.items()])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{SF_DIR}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    given = {tuple(r) for r in docs.collect()}
+    for name, stage in p.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        rows = [tuple(r) for r in out.collect()]
+        assert rows and set(rows) <= given, name
+        if "mix" not in name:
+            docs = spark.createDataFrame(rows, docs.schema)
+    packed = p.run(spark, str(tmp_path)).collect()
+    assert packed and all(r.length > 0 for r in packed)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline as p
+
+    for name in ("documents", "labels"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    for _, stage in p.STAGES[:-1]:
+        assert stage(spark, docs, str(tmp_path)).collect() == []
+    assert p.run(spark, str(tmp_path)).collect() == []
