@@ -9,12 +9,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from labtrail.operators.joins import attach
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 # A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
+# of sessions on one machine that name no folder
+_own_folders: dict[str, str] = {}
 BATCH_SETTING, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "8m"
 
 
@@ -62,8 +66,10 @@ def shared_folder(spark: SparkSession) -> str:
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="staged-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        application = spark.sparkContext.applicationId
+        if application not in _own_folders:
+            _own_folders[application] = "file://" + tempfile.mkdtemp(prefix="staged-")
+        folder = _own_folders[application]
     return folder.rstrip("/")
 
 
@@ -127,23 +133,26 @@ def components(links: DataFrame) -> DataFrame:
     neighbours to the least node of its neighbourhood, then its smaller ones. Both shrink to stars around
     the least nodes in a number of rounds that grows with the logarithm of the size. Each round is two
     aggregates and two joins over the links alone and is staged; only the number of links and a sum of
-    their hashes reach the driver. Returns columns `node`, `root`.
+    their hashes reach the driver. A node with a large share of the links, as the centre of a large star has, is
+    told its least neighbour by `attach`, which spreads its links. Returns columns `node`, `root`.
     """
     both = lambda d: d.select("a", "b").union(d.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = links.select("a", "b").where("a <> b").distinct()
 
+    def told(edges: DataFrame, of: DataFrame) -> DataFrame:
+        """`edges` with the least neighbour (`m`) that their `a` has in `of`."""
+        least = of.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        return attach(edges, least, ["a"], weight="n").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
+
     def toward_least(edges: DataFrame) -> DataFrame:
         """Each larger neighbour of a node, and the least of the node and all its neighbours."""
         every = both(edges)
-        least = every.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        pairs = every.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        return pairs.where("a <> b").distinct()
+        return told(every.where("b > a"), every).where("a <> b").distinct()
 
     def among_smaller(edges: DataFrame) -> DataFrame:
         """Each node and its smaller neighbours, all pointing to the least of them."""
-        least = edges.groupBy("a").agg(F.min("b").alias("m"))
-        pairs = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least)
-        return pairs.where("a <> b").distinct()
+        least = edges.groupBy("a").agg(F.min("b").alias("b"))
+        return told(edges, edges).union(least).where("a <> b").distinct()
 
     def state(edges: DataFrame):
         return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
