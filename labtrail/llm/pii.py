@@ -13,7 +13,8 @@ their own features and a third their neighbours, so that what either says alone
 
 Null and empty texts have no spans. Texts are read whole; a word of any length counts once, and the nodes of a
 key are tied one to the next, so work grows with the text. Each row is read by itself: repeated rows get
-equal spans. Of overlapping spans of different kinds all stay. Columns named like a result are replaced by it.
+equal spans. Of overlapping spans of different kinds all stay. An empty table gives no rows. Columns named like a
+result are replaced by it.
 """
 
 from __future__ import annotations
@@ -35,6 +36,7 @@ from labtrail.llm.labelled import text_sample
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
 CERTAIN = 0.8
+EDGES_AT_ONCE = 1 << 16
 AGREE = 2.0
 TRAIN_TEXTS = 4_000
 TRAIN_CHARS = 12_000_000
@@ -144,6 +146,14 @@ def sound(kind: int, body: str) -> bool:
     return kind == 1 or 7 <= len(digits) <= 15
 
 
+def hopeless(kind: int, body: str) -> bool:
+    """Whether neither this span nor any longer one can be of the kind: it has too many numbers or digits by now."""
+    if kind == 1:
+        return False
+    parts = DIGITS.findall(body)
+    return len(parts) > 4 if kind == 2 else sum(map(len, parts)) > 19
+
+
 def keys_of(body: str) -> list[str]:
     """Nodes that share one of these are tied: the word, its mailbox, its last seven digits."""
     low = body.lower().strip(EDGES)
@@ -191,9 +201,9 @@ class Field:
         base[fixed] = -50.0
         base[fixed, known[fixed]] = 0.0
         pairs = np.concatenate([near, far])
-        potential = np.concatenate([np.repeat(self.near[None], len(near), 0), np.repeat(self.far[None], len(far), 0)])
+        tables, kind = np.stack([self.near, self.far]), np.repeat([0, 1], [len(near), len(far)])
         source, target = np.concatenate([pairs[:, 0], pairs[:, 1]]), np.concatenate([pairs[:, 1], pairs[:, 0]])
-        potential = np.concatenate([potential, potential])
+        kind = np.concatenate([kind, kind])
         back = np.roll(np.arange(len(source)), len(pairs))
         messages = np.zeros((len(source), n))
 
@@ -203,9 +213,12 @@ class Field:
             return out
 
         for _ in range(rounds):
-            sent = (beliefs()[source] - messages[back])[:, :, None] + potential
-            high = sent.max(axis=1, keepdims=True)
-            new = high[:, 0] + np.log(np.exp(sent - high).sum(axis=1))
+            believed, new = beliefs(), np.empty_like(messages)
+            for at in range(0, len(source), EDGES_AT_ONCE):  # labels x labels numbers for these edges only
+                some = slice(at, at + EDGES_AT_ONCE)
+                sent = (believed[source[some]] - messages[back[some]])[:, :, None] + tables[kind[some]]
+                high = sent.max(axis=1, keepdims=True)
+                new[some] = high[:, 0] + np.log(np.exp(sent - high).sum(axis=1))
             new -= new.max(axis=1, keepdims=True)
             change = np.abs(new - messages).max(initial=0.0)
             messages = 0.5 * messages + 0.5 * new
@@ -216,7 +229,7 @@ class Field:
         return out / out.sum(axis=1, keepdims=True)
 
     def added(self, text: str, spans: list[Span], certain: float = CERTAIN) -> list[Span]:
-        """Spans that the patterns did not find; neighbouring words of one kind make one span of up to 21 words."""
+        """Spans that the patterns did not find; neighbouring words of one kind make one span, as long as it can be."""
         nodes = nodes_of(text, spans)
         known = np.array([s.kind for s in nodes], dtype=np.int64)
         if known.all():
@@ -232,8 +245,10 @@ class Field:
         while k < len(nodes):
             step = 1
             if good[k]:  # the longest run of neighbours of one kind that can be a span
-                last = k
-                while last + 1 in tied and good[last + 1] and best[last + 1] == best[k] and last - k < 20:
+                last, kind = k, int(best[k])
+                while last + 1 in tied and good[last + 1] and best[last + 1] == kind:
+                    if hopeless(kind, text[nodes[k].start : nodes[last + 1].end]):
+                        break
                     last += 1
                 for end in range(last, k - 1, -1):
                     body = text[nodes[k].start : nodes[end].end]

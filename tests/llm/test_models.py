@@ -144,3 +144,35 @@ def test_toxicity_scores_by_hand(monkeypatch, block, width):
             e = np.exp(vector @ model.weights + model.biases)
             best = max(best, e[1] / e.sum())
         assert math.isclose(score, best, rel_tol=1e-6)
+
+
+def test_added_spans_have_no_length_of_their_own():
+    """A run of words that the field is sure of is one span, however long, as long as it can be of its kind."""
+
+    class Sure(pii.Field):
+        def marginals(self, own, known, near, far, rounds=30):
+            out = np.zeros((len(own), len(pii.LABELS)))
+            out[:, self.kind] = 1.0
+            return out
+
+    nothing = np.zeros((len(pii.LABELS),) * 2)
+    field = Sure(np.zeros((pii.N_FEATURES, len(pii.LABELS))), nothing, nothing)
+    text = " ".join(f"box{i}@" for i in range(200))
+    field.kind = 1
+    assert [tuple(s) for s in field.added(text, [])] == [(1, 0, len(text))]
+    field.kind = 4
+    text = " ".join("12345" for _ in range(9))
+    assert [(s.start, s.end) for s in field.added(text, [])] == [(0, 17), (18, 35), (36, 53)]
+
+
+def test_messages_in_blocks(monkeypatch):
+    chance = np.random.default_rng(8)
+    labels = len(pii.LABELS)
+    table = chance.normal(size=(labels, labels))
+    field = pii.Field(np.zeros((1, labels)), table + table.T, 0.2 * (table + table.T))
+    own, known = chance.normal(size=(40, labels)), np.zeros(40, dtype=np.int64)
+    near = np.array([(i, i + 1) for i in range(39)])
+    far = np.array([(i, i + 7) for i in range(0, 30, 3)])
+    whole = field.marginals(own, known, near, far)
+    monkeypatch.setattr(pii, "EDGES_AT_ONCE", 5)
+    assert np.array_equal(whole, field.marginals(own, known, near, far))
