@@ -9,8 +9,6 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from labtrail.operators.joins import attach
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -134,15 +132,16 @@ def components(links: DataFrame) -> DataFrame:
     the least nodes in a number of rounds that grows with the logarithm of the size. Each round is two
     aggregates and two joins over the links alone and is staged; only the number of links and a sum of
     their hashes reach the driver. A node with a large share of the links, as the centre of a large star has, is
-    told its least neighbour by `attach`, which spreads its links. Returns columns `node`, `root`.
+    one whose rows adaptive execution splits. Returns columns `node`, `root`.
     """
     both = lambda d: d.select("a", "b").union(d.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = links.select("a", "b").where("a <> b").distinct()
 
     def told(edges: DataFrame, of: DataFrame) -> DataFrame:
         """`edges` with the least neighbour (`m`) that their `a` has in `of`."""
-        least = of.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
-        return attach(edges, least, ["a"], weight="n").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
+        # written, so that the join meets two plain shuffles and adaptive execution can split a star's centre
+        least = staged(of.groupBy("a").agg(F.min("b").alias("m")), "least")
+        return edges.join(least, "a").select(F.col("b").alias("a"), F.least("a", "m").alias("b"))
 
     def toward_least(edges: DataFrame) -> DataFrame:
         """Each larger neighbour of a node, and the least of the node and all its neighbours."""
