@@ -7,7 +7,8 @@ same way. A score is the logistic of a sum of table entries, looked up for whole
 
 Null and empty texts have all features 0 and get a score like any other. Where the labels hold only one class
 (or none) the score is the smoothed share of label 1. Each row is scored by itself: repeated rows get equal
-scores. Columns named like a result are replaced by it.
+scores. Texts of any length are read whole, and an empty table gives no rows. Columns named like a result are
+replaced by it.
 """
 
 from __future__ import annotations

@@ -4,7 +4,7 @@
 have no words, symbols or lines: their figures are 0 and they fail the base. Ratios with nothing to divide
 by are 0. Every row is judged by itself, so repeated rows get the same verdict; columns that are named like
 a result are replaced by it. Texts of any length are taken whole; equal five-word windows are found by
-sorting their 64-bit hashes within the row.
+sorting their 64-bit hashes within the row. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ fading. Embeddings and softmax learn together from the labels of whole texts.
 
 Null and empty texts have no stretch; they get the score of an empty mean, the softmax of the biases. Where
 the labels hold only one class (or none) the score is the smoothed share of label 1. Each row is scored by
-itself: repeated rows get equal scores. Columns named like a result are replaced by it.
+itself: repeated rows get equal scores. Texts of any length are scored whole, and an empty table gives no rows. Columns
+named like a result are replaced by it.
 """
 
 from __future__ import annotations

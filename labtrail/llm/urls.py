@@ -12,7 +12,8 @@ of the path do not count. Link targets are read with their character references
 decoded. A null URL, or one
 without `://`, has empty host and path, no rule and no aliases, and is allowed. Each row is judged by itself,
 so repeated rows get equal verdicts; columns named like a result are replaced by it. Links are read from whole
-pages; a null page has none. Rules are a written list; each adds one comparison to the projection.
+pages, however long; a null page has none. An empty table gives no rows. Rules are a written list; each adds one
+comparison to the projection.
 """
 
 from __future__ import annotations
