@@ -120,7 +120,8 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", po
     # The texts are dealt out by row number, so those of a large group lie in all tasks, whose partial aggregates
     # leave one row a chunk.
     told = staged(grouped(rows, key), "groups")
-    shared = told.where("__n > 1").select("__at")
+    # Both sides grow with the table: no broadcast, and texts are not sorted for the join.
+    shared = told.where("__n > 1").select("__at").hint("shuffle_hash")
     again = F.regexp_replace(F.coalesce(F.col("__row").getField(text), F.lit("")), BLANKS, " ")
     chunks = (
         rows.join(shared, "__at")
@@ -147,7 +148,7 @@ def exact_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", po
         met = rows.join(unlike, key, "left_semi").withColumn("__whole", again)
         sure = rows.join(unlike, key, "left_anti").select("__at")
         told = told.join(sure, "__at", "left_semi").unionByName(grouped(met, [*key, "__whole"]))
-    out = rows.join(told, "__at")
+    out = rows.join(told.hint("shuffle_hash"), "__at")
     return out.select(
         "__row.*",
         F.col("__first.id").alias("keep_id"),
