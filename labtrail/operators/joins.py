@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows of a hot key go to this many times as many places as they have even shares.
+# Rows that are told already go to this many times as many places as there are shuffle partitions.
 FINENESS = 4
 
 
@@ -51,13 +51,12 @@ def attach(
     """Left-join `info` (at most one row per key) to `rows` when neither side is known to be small.
 
     Of all keys but the largest few, as many as there are shuffle partitions, each holds less than an even
-    share of the rows and meets its information by hash. Those largest are hot: their rows are spread by a
-    hash of the row over a number of places that follows from the key's own count, and their information goes
-    to each of these. The list of hot keys that is broadcast has a row per shuffle partition at most, and
-    their information is copied a few times that number in all. This holds too when the rows already lie
-    together by the key. Every row sees all of `info`, whichever way it goes.
+    share of the rows and meets its information by hash. Those largest are hot: their information is broadcast, a row
+    for each shuffle partition at most, and their rows, which have been told then, are spread by a hash of the row.
+    This holds too when the rows already lie together by the key.
 
-    weight: a column of `info` that counts the rows behind each key, when `info` covers all of them.
+    weight: a column of `info` that counts the rows behind each key, when `info` covers all of them. The hot keys and
+            the others then come out of one aggregate, whose shuffle Spark makes once.
             Without it the keys of `rows` are counted, which combines before its shuffle.
     only:   rows that need the information; the others get nulls and are spread too.
     """
@@ -67,30 +66,32 @@ def attach(
     info = info.dropna(subset=on)
     values = [c for c in info.columns if c not in on and c != weight]
     if weight:
-        counted = info.select(*on, F.col(f"`{weight}`").alias("_n"))
+        hot = info.orderBy(F.desc(weight), *on).limit(parts)
     else:
         counted = rows.where(wanted).dropna(subset=on).groupBy(*on).agg(F.count("*").alias("_n"))
-    largest = counted.orderBy(F.desc("_n"), *on).limit(parts)
-    # of the rows of the hot keys, which are at most all rows
-    share = F.col("_n") * parts / F.greatest(F.sum("_n").over(Window.partitionBy()), F.lit(1))
-    hot = largest.select(*on, F.ceil(FINENESS * share).alias("_places"))
+        largest = counted.orderBy(F.desc("_n"), *on).limit(parts).select(*on)
+        hot = largest.join(info.join(F.broadcast(largest), on, "left_semi"), on, "left")
+    names = {c: f"_hot_{i}" for i, c in enumerate(values)}
+    hot = hot.select(*on, F.lit(True).alias("_hot"), *[F.col(f"`{c}`").alias(h) for c, h in names.items()])
 
     keyless = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in on])
-    place = (
-        F.when(keyless | ~wanted, -1 - F.pmod(_row_hash(rows), F.lit(FINENESS * parts)))
-        .when(F.col("_places").isNotNull(), F.pmod(_row_hash(rows), F.col("_places")))
-        .otherwise(0)
+    known = F.col("_hot").isNotNull()
+    aside = -1 - F.pmod(_row_hash(rows), F.lit(FINENESS * parts))
+    place = F.when(keyless | ~wanted | known, aside).otherwise(F.lit(0).cast("long"))
+    dealt = rows.join(F.broadcast(hot), on, "left").withColumn("_place", place)
+
+    # Keys without anything to tell need not travel. The weight is asked for here too, so that this aggregate is the
+    # same as that of the hot keys.
+    says = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNotNull() for c in values])
+    told = info.where(says & (F.col(f"`{weight}`") > 0) if weight else says)
+    # always 0, but no literal: Spark would take that for a filter and join by the other keys alone
+    zero = F.pmod(F.xxhash64(*on), F.lit(1))
+    told = told.select(*on, *[F.col(f"`{c}`") for c in values], zero.alias("_place"))
+    joined = dealt.join(told, [*on, "_place"], "left")
+    return joined.select(
+        *[F.col(f"`{c}`") for c in rows.columns],
+        *[F.when(known & wanted, F.col(h)).otherwise(F.col(f"`{c}`")).alias(c) for c, h in names.items()],
     )
-    dealt = rows.join(F.broadcast(hot), on, "left").withColumn("_place", place).drop("_places")
-
-    # Keys without anything to tell need not travel.
-    told = info.where(reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNotNull() for c in values]))
-    copied = told.join(F.broadcast(hot), on, "left").select(
-        *[F.col(f"`{c}`") for c in (*on, *values)],
-        F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_places", F.lit(1)) - 1)).alias("_place"),
-    )
-    joined = dealt.join(copied, [*on, "_place"], "left")
-    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col(f"`{c}`") for c in values])
 
 
 def lookup_join(

@@ -54,7 +54,7 @@ def test_checks_spread_a_hot_key(spark, name, together):
         checked = HOT_CHECKS[name](rows, pairs)
         # all columns are looked at, so the join cannot be dropped
         seen = checked.select(F.spark_partition_id().alias("p"), F.xxhash64(*checked.columns).alias("h"))
-        sizes = [r["n"] for r in seen.groupBy("p").agg(F.count("h").alias("n")).collect()]
+        sizes = [r["n"] for r in seen.groupBy("p").agg(F.count("h").alias("n"), F.bit_xor("h")).collect()]
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
