@@ -176,14 +176,20 @@ _RUN = (
 
 
 def _ran(spark, sf_dir):
-    """A run from the canonical rows to the outputs; the path of its log."""
+    """A run from the landed sheets to the outputs; the path of its log."""
     folder = scratch_folder(spark, "run")
+
+    def landed(name, df):
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     contract = rule_table(spark, ("parametro", "matriz", "planejamento", "metodo", "prazo"), RUN_SCOPE)
     tables = Tables(
-        stations(spark, sf_dir), corrections(spark, sf_dir), lookup_table(spark), unit_factors(spark),
-        Scope(contract, spark.createDataFrame([], "Station string")),
+        landed("station", stations(spark, sf_dir)), landed("corrections", corrections(spark, sf_dir)), lookup_table(spark),
+        unit_factors(spark), Scope(contract, spark.createDataFrame([], "Station string")),
     )
-    rows = canonical_pair(*delivery(spark, sf_dir), "LAB", "LAB_MAIL")
+    samples, analyses = delivery(spark, sf_dir)
+    rows = canonical_pair(landed("samples", samples), landed("analyses", analyses), "LAB", "LAB_MAIL")
     run_delivery(rows, RULES, tables, f"{folder}/silver", BATCH_ID, Ledger("P", "run"), f"{folder}/log")
     return f"{folder}/log"
 
