@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -92,11 +93,13 @@ def summarise(checked: DataFrame, scope: Scope | None) -> DataFrame:
     return sample_summary(coverage(mapped, planned)).orderBy(*SAMPLE)
 
 
-def deliver(checked: DataFrame) -> DataFrame:
+def deliver(checked: DataFrame, more: Sequence[tuple[str, str]] = ()) -> DataFrame:
     """The delivered columns with the outputs each row belongs to, one row per output.
 
     One plan feeds all outputs: writing it partitioned by `output` reads the results once.
+
+    more: columns besides the delivered ones, as (output, source), such as `PARENT` for the replica check.
     """
-    spec = (*DELIVERED, ("flag_fator_nao_encontrado", "flag_fator_nao_encontrado"))
+    spec = (*DELIVERED, *more, ("flag_fator_nao_encontrado", "flag_fator_nao_encontrado"))
     tagged = checked.withColumn("output", F.explode(output_tags()))
     return project_output(tagged, (*spec, ("output", "output")))

@@ -238,6 +238,6 @@ DELIVERED = (
     ("holding_time_executado", "diasDecorridos"),
     ("flag_station_sem_mapeamento", "flag_station_sem_mapeamento"),
     ("flag_padronizacao", "flag_padronizacao"),
-    # the sample this one replicates, for the replica check
-    ("parent", "parent"),
 )
+# The sample this one replicates, for the replica check; delivered on request.
+PARENT = ("parent", "parent")
