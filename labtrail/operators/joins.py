@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Rows that are told already go to this many times as many places as there are shuffle partitions.
@@ -47,51 +47,66 @@ def attach(
     on: Sequence[str],
     weight: str | None = None,
     only: Column | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Left-join `info` (at most one row per key) to `rows` when neither side is known to be small.
 
     Of all keys but the largest few, as many as there are shuffle partitions, each holds less than an even
-    share of the rows and meets its information by hash. Those largest are hot: their information is broadcast, a row
-    for each shuffle partition at most, and their rows, which have been told then, are spread by a hash of the row.
+    share of the rows and meets its information by hash. Those largest are hot: their rows are spread by a hash of the
+    row. With `weight` their information is broadcast and their rows have been told by then; else it is copied to the
+    places their rows go to, which are as many as follow from the key's own count, some for each shuffle partition in
+    all. What is broadcast is a row for each shuffle partition at most.
     This holds too when the rows already lie together by the key.
 
-    weight: a column of `info` that counts the rows behind each key, when `info` covers all of them. The hot keys and
-            the others then come out of one aggregate, whose shuffle Spark makes once.
-            Without it the keys of `rows` are counted, which combines before its shuffle.
+    weight: a column of `info` that counts the rows behind each key, when `info` covers all of them and is a plain
+            aggregate of them. The hot keys and the others then come out of one aggregate, whose shuffle Spark makes once.
+    counts: else the keys of `rows` with their count `_n`, where that is at hand for less than all of `info` costs.
+            Without either the keys of `rows` are counted, which combines before its shuffle.
     only:   rows that need the information; the others get nulls and are spread too.
     """
     on = list(on)
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
-    info = info.dropna(subset=on)
+    has_key = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in on])
+    # in the words Spark itself would use for the join below, so that it adds nothing there: `told` and `hot` stay alike
+    info = info.where(has_key)
     values = [c for c in info.columns if c not in on and c != weight]
+    names = {c: f"_hot_{i}" for i, c in enumerate(values)}
+    spread = F.lit(FINENESS * parts)
     if weight:
         hot = info.orderBy(F.desc(weight), *on).limit(parts)
+        hot = hot.select(*on, spread.alias("_places"), *[F.col(f"`{c}`").alias(h) for c, h in names.items()])
     else:
-        counted = rows.where(wanted).dropna(subset=on).groupBy(*on).agg(F.count("*").alias("_n"))
-        largest = counted.orderBy(F.desc("_n"), *on).limit(parts).select(*on)
-        hot = largest.join(info.join(F.broadcast(largest), on, "left_semi"), on, "left")
-    names = {c: f"_hot_{i}" for i, c in enumerate(values)}
-    hot = hot.select(*on, F.lit(True).alias("_hot"), *[F.col(f"`{c}`").alias(h) for c, h in names.items()])
-
-    keyless = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in on])
-    known = F.col("_hot").isNotNull()
-    aside = -1 - F.pmod(_row_hash(rows), F.lit(FINENESS * parts))
-    place = F.when(keyless | ~wanted | known, aside).otherwise(F.lit(0).cast("long"))
+        if counts is None:
+            counts = rows.where(wanted).groupBy(*on).agg(F.count("*").alias("_n"))
+        largest = counts.where(has_key).orderBy(F.desc("_n"), *on).limit(parts)
+        places = F.ceil(spread * F.col("_n") / F.sum("_n").over(Window.partitionBy())).cast("int")
+        hot = largest.select(*on, F.greatest(places, F.lit(1)).alias("_places"))
+
+    known = F.col("_places").isNotNull()
+    aside = -1 - F.pmod(_row_hash(rows), F.coalesce("_places", spread))
+    place = F.when(~has_key | ~wanted | known, aside).otherwise(F.lit(0).cast("long"))
     dealt = rows.join(F.broadcast(hot), on, "left").withColumn("_place", place)
 
     # Keys without anything to tell need not travel. The weight is asked for here too, so that this aggregate is the
     # same as that of the hot keys.
     says = reduce(lambda a, b: a | b, [F.col(f"`{c}`").isNotNull() for c in values])
     told = info.where(says & (F.col(f"`{weight}`") > 0) if weight else says)
-    # always 0, but no literal: Spark would take that for a filter and join by the other keys alone
-    zero = F.pmod(F.xxhash64(*on), F.lit(1))
-    told = told.select(*on, *[F.col(f"`{c}`") for c in values], zero.alias("_place"))
+    plain = [F.col(f"`{c}`") for c in values]
+    if weight:
+        # Always 0, but no literal: Spark would take that for a filter and join by the other keys alone. Nor can it be
+        # null: a check for nulls would be pushed below the aggregate here and not for the hot keys, and all be done twice.
+        zero = F.xxhash64(*on).bitwiseAND(F.lit(0))
+        told = told.select(*on, *plain, zero.alias("_place"))
+    else:
+        each = F.when(known, F.sequence(-F.col("_places"), F.lit(-1))).otherwise(F.array(F.lit(0))).cast("array<long>")
+        told = told.join(F.broadcast(hot), on, "left").select(*on, *plain, F.explode(each).alias("_place"))
     joined = dealt.join(told, [*on, "_place"], "left")
-    return joined.select(
-        *[F.col(f"`{c}`") for c in rows.columns],
-        *[F.when(known & wanted, F.col(h)).otherwise(F.col(f"`{c}`")).alias(c) for c, h in names.items()],
-    )
+    if weight:
+        outcome = [F.when(known & wanted, F.col(h)).otherwise(F.col(f"`{c}`")).alias(c) for c, h in names.items()]
+    else:
+        outcome = [F.when(wanted, F.col(f"`{c}`")).alias(c) for c in values]
+    return joined.select(*[F.col(f"`{c}`") for c in rows.columns], *outcome)
 
 
 def lookup_join(

@@ -163,47 +163,84 @@ def replica_differences(df: DataFrame, pairs: DataFrame) -> DataFrame:
 
     Values are first reduced to one per sample and parameter; the pair table meets only those.
     """
-    return _differences(
-        df.groupBy("sample_name", "chemical_name").agg(F.min("value").alias("value")), pairs
-    )
+    values = df.groupBy("sample_name", "chemical_name").agg(F.min("value").alias("value"))
+    return _differences(_profiles(values), pairs, "left")
 
 
-def _differences(values: DataFrame, pairs: DataFrame) -> DataFrame:
-    sample = F.explode(F.array("original", "replica")).alias("sample_name")
-    sides = values.select("sample_name", "chemical_name", "value").join(
-        pairs.select("original", "replica", sample), "sample_name"
-    )
-    wide = sides.groupBy("original", "replica", "chemical_name").agg(
-        F.min(F.when(F.col("sample_name") == F.col("original"), F.col("value"))).alias("value_original"),
-        F.min(F.when(F.col("sample_name") == F.col("replica"), F.col("value"))).alias("value_replica"),
+def _profiles(per_parameter: DataFrame) -> DataFrame:
+    """One row per sample with all of `per_parameter` in an array, `found`: an entry for each parameter it reports.
+
+    All columns are kept together, so whoever reads them shares the shuffles up to here.
+    """
+    entry = F.struct(*[c for c in per_parameter.columns if c != "sample_name"])
+    return per_parameter.groupBy("sample_name").agg(F.collect_list(entry).alias("found"))
+
+
+def _counts(profiles: DataFrame) -> DataFrame:
+    """The rows behind each sample, as `attach` asks for them; the entries count them as `rows`."""
+    rows = F.aggregate("found", F.lit(0).cast("long"), lambda n, entry: n + entry["rows"])
+    return profiles.select("sample_name", rows.alias("_n"))
+
+
+def _differences(profiles: DataFrame, pairs: DataFrame, how: str) -> DataFrame:
+    """A pair travels once with all that its original reports, and meets its replica where that already lies.
+
+    how: `left` keeps what only one sample of a pair reports, `inner` leaves out pairs with a sample that reports nothing.
+    """
+    first, second = (profiles.select(F.col("sample_name").alias(s), F.col("found").alias(f"_{s}")) for s in ("original", "replica"))
+    met = attach(pairs.select("original", "replica"), first, ["original"])
+    if how == "inner":
+        met = met.where(F.col("_original").isNotNull())
+    met = met.join(second, "replica", how)
+    nothing = F.lit(None).cast(profiles.schema["found"].dataType.elementType["value"].dataType)
+
+    def side(found: str) -> Column:
+        return F.transform(found, lambda x: F.struct(
+            x["chemical_name"].alias("chemical_name"),
+            (x["value"] if found == "_original" else nothing).alias("value_original"),
+            (x["value"] if found == "_replica" else nothing).alias("value_replica"),
+        ))
+
+    both = F.flatten(F.array_compact(F.array(side("_original"), side("_replica"))))
+    wide = (
+        met.select("original", "replica", F.inline(both))
+        .groupBy("original", "replica", "chemical_name")
+        .agg(F.min("value_original").alias("value_original"), F.min("value_replica").alias("value_replica"))
     )
     return wide.withColumn("rpd", rpd(F.col("value_original"), F.col("value_replica")))
 
 
 def replica_rpd(df: DataFrame, pairs: DataFrame, limit: float = RPD_LIMIT) -> DataFrame:
     """Flag the rows of both samples of a pair whose values differ by more than `limit` percent."""
-    keys = ["sample_name", "chemical_name"]
-    values = df.groupBy(*keys).agg(F.min("value").alias("value"), F.count("*").alias("_rows"))
-    failing = _failing_replicas(values, pairs, limit).withColumn("flag_rpd", F.lit(f"RPD > {limit:g}%"))
-    verdicts = (
-        values.select(*keys, "_rows")
-        .unionByName(failing, allowMissingColumns=True)
-        .groupBy(*keys)
-        .agg(F.max("flag_rpd").alias("flag_rpd"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("_rows"))
+    profiles = _profiles(
+        df.groupBy("sample_name", "chemical_name").agg(F.min("value").alias("value"), F.count("*").alias("rows"))
     )
-    told = attach(df, verdicts, keys, weight="_rows")
-    return told.select(*[F.col(f"`{c}`") for c in df.columns], "flag_rpd")
+    failing = _failing_replicas(profiles, pairs, limit).withColumnRenamed("replicas", "_replicas")
+    told = attach(df, failing, ["sample_name"], counts=_counts(profiles))
+    flag = F.when(F.array_contains("_replicas", F.col("chemical_name")), F.lit(f"RPD > {limit:g}%"))
+    return told.select(*[F.col(f"`{c}`") for c in df.columns], flag.alias("flag_rpd"))
 
 
-def _failing_replicas(values: DataFrame, pairs: DataFrame, limit: float) -> DataFrame:
-    """(sample, parameter) of both sides of every pair that differs too much."""
+def _failing_replicas(profiles: DataFrame, pairs: DataFrame, limit: float) -> DataFrame:
+    """Per sample the parameters (`replicas`) that differ too much in some pair it belongs to."""
     side = F.explode(F.array("original", "replica")).alias("sample_name")
-    wide = _differences(values, pairs).where(F.col("rpd") > limit)
-    return wide.select(side, "chemical_name").distinct()
+    wide = _differences(profiles, pairs, "inner").where(F.col("rpd") > limit)
+    return wide.select(side, "chemical_name").groupBy("sample_name").agg(F.collect_set("chemical_name").alias("replicas"))
+
+
+def sample_profiles(df: DataFrame) -> DataFrame:
+    """What each sample reports: per parameter the least and greatest value in water, the least of all, and the rows."""
+    value, water = F.col("value"), in_water()
+    return _profiles(df.groupBy("sample_name", "chemical_name").agg(
+        F.min(F.when(water, value)).alias("low"),
+        F.max(F.when(water, value)).alias("high"),
+        F.min(value).alias("value"),
+        F.count("*").alias("rows"),
+    ))
 
 
 def sample_verdicts(
-    df: DataFrame,
+    profiles: DataFrame,
     excluded_samples: Sequence[str] = (),
     demand: tuple[str, str] = ("DBO", "DQO"),
     species: Mapping[str, str] = CHROMIUM,
@@ -211,59 +248,47 @@ def sample_verdicts(
     pairs: DataFrame | None = None,
     limit: float = RPD_LIMIT,
 ) -> DataFrame:
-    """What the cross-row checks say about each sample, and the rows behind it (`rows`).
+    """What the cross-row checks say about each sample of `sample_profiles`.
 
-    All checks compare values of one sample, so they share one chain of aggregates: per parameter, per
-    parameter without its fraction, per sample. Each combines before its shuffle. Failing fractions and
-    replicas are listed by name, at most once per parameter.
+    All checks compare values of one sample, so they share one chain of aggregates: per parameter, which combines
+    before its shuffle, then, with the parameters of a sample together, per parameter without its fraction and per
+    sample. Failing fractions and replicas are listed by name, at most once per parameter.
     """
     part, whole = demand
     chemical, low, high = F.col("chemical_name"), F.col("low"), F.col("high")
     kept = ~F.col("sample_name").isin(*excluded_samples) if excluded_samples else F.lit(True)
     fraction = kept & ~mentions("cromo")
-    value, water = F.col("value"), in_water()
-
-    per_parameter = df.groupBy("sample_name", "chemical_name").agg(
-        F.min(F.when(water, value)).alias("low"),
-        F.max(F.when(water, value)).alias("high"),
-        F.min(value).alias("value"),
-        F.count("*").alias("rows"),
-    )
-    per_base = per_parameter.groupBy("sample_name", base_parameter(chemical).alias("base")).agg(
+    # the entries of a sample lie together now, so neither of these two is shuffled
+    per_base = profiles.select("sample_name", F.inline("found")).groupBy("sample_name", base_parameter(chemical).alias("base")).agg(
         F.max(F.when(fraction & mentions("dissolvido"), high)).alias("_dissolved"),
         F.min(F.when(fraction & mentions("total"), low)).alias("_total"),
         F.max(F.when(begins(part), high)).alias("_part"),
         F.min(F.when(begins(whole), low)).alias("_whole"),
         *[F.min(F.when(kept & (_name() == n), low)).alias(f"_s_{s}") for s, n in species.items()],
-        F.sum("rows").alias("rows"),
-    )
-    replica = F.lit(None).cast("string").alias("replica")
-    evidence = per_base.withColumn("replica", replica).withColumn("paired", F.lit(None).cast("boolean"))
-    if pairs is not None:
-        differing = _failing_replicas(per_parameter, pairs, limit).withColumnRenamed("chemical_name", "replica")
-        paired = pairs.select(F.explode(F.array("original", "replica")).alias("sample_name")).distinct()
-        evidence = evidence.unionByName(differing, allowMissingColumns=True).unionByName(
-            paired.withColumn("paired", F.lit(True)), allowMissingColumns=True
-        )
-    per_sample = evidence.groupBy("sample_name").agg(
+    )
+    per_sample = per_base.groupBy("sample_name").agg(
         F.collect_set(F.when(F.col("_dissolved") > F.col("_total"), F.col("base"))).alias("bases"),
-        F.collect_set("replica").alias("replicas"),
-        F.max("paired").alias("in_replica_pair"),
         F.max("_part").alias("_part"),
         F.min("_whole").alias("_whole"),
         *[F.min(f"_s_{s}").alias(f"_s_{s}") for s in species],
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
     )
+    if pairs is None:
+        names, paired = F.lit(None).cast("array<string>"), F.lit(None).cast("boolean")
+        per_sample = per_sample.withColumns({"replicas": names, "in_replica_pair": paired})
+    else:
+        paired = pairs.select(F.explode(F.array("original", "replica")).alias("sample_name")).distinct()
+        per_sample = per_sample.join(_failing_replicas(profiles, pairs, limit), "sample_name", "left").join(
+            paired.withColumn("in_replica_pair", F.lit(True)), "sample_name", "left"
+        )
     too_much = exceeds(F.col("_part"), F.col("_whole"))
     broken = [(F.col(f"_s_{a}") > F.col(f"_s_{b}"), m) for a, b, m in rules]
     return per_sample.select(
         "sample_name",
         F.when(F.size("bases") > 0, F.col("bases")).alias("bases"),
-        F.when(F.size("replicas") > 0, F.col("replicas")).alias("replicas"),
+        "replicas",
         F.when(too_much, F.lit(f"{part} maior que {whole}")).alias("demand"),
         join_messages(*broken).alias("species"),
         "in_replica_pair",
-        "rows",
     )
 
 
@@ -283,14 +308,15 @@ def cross_checks(
     verdicts are joined into one row per sample with something to tell and attached once. `in_replica_pair`
     says which rows belong to a sample of a pair (null: none).
     """
-    verdicts = sample_verdicts(df, excluded_samples, demand, species, rules, pairs, limit)
+    profiles = sample_profiles(df)
+    verdicts = sample_verdicts(profiles, excluded_samples, demand, species, rules, pairs, limit)
     chemical = F.col("chemical_name")
     water, kept = in_water(), in_water(excluded_samples)
     fraction = kept & ~mentions("cromo") & (mentions("total") | mentions("dissolvido"))
     measured = water & (begins(demand[0]) | begins(demand[1]))
     if mode == "rows":
         fraction = measured = F.lit(True)
-    told = attach(df, verdicts, ["sample_name"], weight="rows")
+    told = attach(df, verdicts, ["sample_name"], counts=_counts(profiles))
     flags = {
         "flag_totais_dissolvido": F.when(
             fraction & F.array_contains("bases", base_parameter(chemical)),

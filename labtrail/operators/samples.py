@@ -48,7 +48,7 @@ def map_samples(
     )
     targets = manual.join(corrected, "_target", "left")
 
-    names = df.groupBy(NAME).agg(F.count("*").alias("_n")).dropna(subset=[NAME])
+    names = df.groupBy(NAME).agg(F.count("*").alias("_n")).where(F.col(NAME).isNotNull())
     found = lookup_join(names.join(stations, NAME, "left"), targets, [NAME], on_duplicate)
     resolved = found.select(
         NAME,

@@ -61,6 +61,39 @@ def test_checks_spread_a_hot_key(spark, name, together):
     assert sum(sizes) == 64_000 and max(sizes) <= 2 * 64_000 / 16
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def plain_plans(spark):
+    """Plans as they are before adaptive execution, all joins by hash."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def _results(spark, tmp_path):
+    rows = [(f"s{i % 7}", f"A {'Total' if i % 2 else 'Dissolvido'}", "Fase livre", float(i), str(i % 3)) for i in range(40)]
+    schema = "sample_name string, chemical_name string, samp_matrix string, value double, text string"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "rows"))
+    spark.createDataFrame([(f"s{i}", f"s{i + 1}") for i in range(7)], "original string, replica string").write.parquet(str(tmp_path / "pairs"))
+    return spark.read.parquet(str(tmp_path / "rows")), spark.read.parquet(str(tmp_path / "pairs"))
+
+
+@pytest.mark.parametrize("name", ["conflicts", "demand", "fractions", "species", "all"])
+def test_verdicts_are_made_once(spark, tmp_path, plain_plans, name):
+    """The results are read once for the verdicts and once to be told, not again for the hot keys."""
+    df, pairs = _results(spark, tmp_path)
+    checked = quality.cross_checks(df, pairs=pairs) if name == "all" else HOT_CHECKS[name](df, pairs)
+    scans = [line for line in _plan(checked).splitlines() if "FileScan" in line and "original" not in line]
+    assert len(scans) == 2
+
+
 # --- newest batch --------------------------------------------------------------------------------------
 
 
