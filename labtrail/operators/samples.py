@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labtrail.functions import clean_sample_name
-from labtrail.operators.joins import attach, lookup_join, unique_lookup
+from labtrail.operators.joins import unique_lookup
 from labtrail.operators.outputs import append_new
 from labtrail.schemas import STATION_CODE
 from labtrail.sources.paths import scratch_folder
@@ -27,8 +27,9 @@ def map_samples(
     Priority: the name as delivered, then the corrected name, then the manual values of the correction
     (the quality code has no manual value). Station and quality code of the source are replaced.
 
-    The lookups run on the distinct names, which are far fewer than the results, and only the outcome is
-    attached to the rows: one shuffle of the full rows instead of three.
+    Stations and corrections are resolved by name first, without the rows, which are then read and shuffled once. The
+    resolved names come out of a full join, so both sides of the last join come plainly out of a shuffle, and
+    adaptive execution splits the rows of a hot name.
     """
     taken = (STATION_CODE, "codigoQualidade", "alternate_name")
     stations = unique_lookup(
@@ -46,19 +47,19 @@ def map_samples(
         F.col("alternate_name").alias("_name"),
         F.col("codigoQualidade").alias("_quality"),
     )
-    targets = manual.join(corrected, "_target", "left")
-
-    names = df.groupBy(NAME).agg(F.count("*").alias("_n")).where(F.col(NAME).isNotNull())
-    found = lookup_join(names.join(stations, NAME, "left"), targets, [NAME], on_duplicate)
-    resolved = found.select(
+    targets = unique_lookup(manual.join(corrected, "_target", "left"), [NAME], on_duplicate)
+    resolved = stations.join(targets, NAME, "full").select(
         NAME,
-        "_n",
         F.coalesce(STATION_CODE, "_code", "_manual_code").alias(STATION_CODE),
         F.coalesce("alternate_name", "_name", "_manual_name").alias("alternate_name"),
         F.coalesce("codigoQualidade", "_quality").alias("codigoQualidade"),
-        F.coalesce("_target", NAME).alias("descricaoAmostra_final"),
+        "_target",
+    )
+    rows = df.drop(*taken)
+    final = F.coalesce("_target", NAME).alias("descricaoAmostra_final")
+    mapped = rows.join(resolved, NAME, "left").select(
+        *[F.col(f"`{c}`") for c in rows.columns], STATION_CODE, "alternate_name", "codigoQualidade", final
     )
-    mapped = attach(df.drop(*taken), resolved, [NAME], weight="_n")
     return mapped.withColumn(
         "flag_station_sem_mapeamento", F.when(F.col("alternate_name").isNull(), F.lit(NO_STATION))
     )

@@ -94,6 +94,30 @@ def test_verdicts_are_made_once(spark, tmp_path, plain_plans, name):
     assert len(scans) == 2
 
 
+def test_station_names_do_not_read_the_results_again(spark, tmp_path, plain_plans):
+    """The results meet the resolved names once; both sides of that join are shuffles, which Spark can split when a name is hot."""
+    names = ["S_1 -Terc", "S_2 -Terc", "S_3 -Terc", "S_9 -Terc", None]
+    columns = "descricaoAmostra string, matriz string, codigoEstacao string, codigoQualidade string"
+    spark.createDataFrame([(n, "Solo", "x", "x") for n in names * 3], columns).write.parquet(str(tmp_path / "rows"))
+    station = spark.createDataFrame(
+        [("S-1", "ST-1", "Q1", "one"), ("S-2", "ST-2", None, "two"), ("S-2", None, None, "two"), (None, "ST-0", "Q0", "none")],
+        "SampleName string, codigoEstacao string, codigoQualidade string, alternate_name string",
+    )
+    corrections = spark.createDataFrame(
+        [("S-1", "S-2", "M", "by hand"), ("S-3", "S-1", None, None), (None, "S-1", "M", "by hand")],
+        "descricaoAmostra_de string, descricaoAmostra_para string, codigoEstacao string, alternate_name string",
+    )
+    mapped = clean_names(spark.read.parquet(str(tmp_path / "rows"))).transform(map_samples, station, corrections)
+    plan = _plan(mapped)
+    assert plan.count("FileScan") == 1
+    last = plan[plan.index("SortMergeJoin") :]
+    assert last.split("\n")[0].rstrip().endswith("LeftOuter") and "Exchange" in last.split("\n")[2]
+    got = collected(mapped, "descricaoAmostra", "codigoEstacao", "codigoQualidade", "alternate_name", "descricaoAmostra_final")
+    want = [("S-1", "ST-1", "Q1", "one", "S-2"), ("S-2", "ST-2", None, "two", "S-2"), ("S-3", "ST-1", "Q1", "one", "S-1"),
+            ("S-9", None, None, None, "S-9"), (None, None, None, None, None)]
+    assert got == sorted(want * 3, key=repr)
+
+
 # --- newest batch --------------------------------------------------------------------------------------
 
 
