@@ -107,7 +107,7 @@ def test_station_names_do_not_read_the_results_again(spark, tmp_path, plain_plan
         [("S-1", "S-2", "M", "by hand"), ("S-3", "S-1", None, None), (None, "S-1", "M", "by hand")],
         "descricaoAmostra_de string, descricaoAmostra_para string, codigoEstacao string, alternate_name string",
     )
-    mapped = clean_names(spark.read.parquet(str(tmp_path / "rows"))).transform(map_samples, station, corrections)
+    mapped = samples.map_samples(samples.clean_names(spark.read.parquet(str(tmp_path / "rows"))), station, corrections)
     plan = _plan(mapped)
     assert plan.count("FileScan") == 1
     last = plan[plan.index("SortMergeJoin") :]
