@@ -190,8 +190,11 @@ def flat_sheet(spark, sf_dir):
     )
 
 
-def pair_sheets(spark, sf_dir):
-    """The results as a sample sheet and an analysis sheet."""
+def pair_sheets(spark, sf_dir, **written):
+    """The results as a sample sheet and an analysis sheet.
+
+    written: columns of the sample sheet that are written otherwise, from those of `orders`.
+    """
     day = F.date_format("o_orderdate", "dd/MM/yyyy")
     # the matrix belongs to the result here, so a sample key is (order, matrix)
     code = F.col("matrix_code")
@@ -209,17 +212,26 @@ def pair_sheets(spark, sf_dir):
         F.col("lq_text").alias("LQ"),
     )
     codes = F.explode(F.array(F.lit("SO"), F.lit("ASUB"), F.lit("LNAPL")))
+    # an order's cells are worked out once and then repeated for each of its matrices
+    cells = {
+        "Codigo Ponto": F.concat(F.lit("P-"), F.col("o_custkey")),
+        "Nome Amostra": F.concat(F.lit("S-"), F.col("o_orderkey")),
+        "Data Coleta": day,
+        "Data Recebimento Lab": day,
+        "Proposta Comercial": F.col("o_orderpriority"),
+    } | written
     sample_sheet = (
         table(spark, sf_dir, "orders")
+        .select("o_orderkey", *[v.alias(c) for c, v in cells.items()])
         .withColumn("matrix_code", codes)
         .select(
-            F.concat(F.lit("P-"), F.col("o_custkey")).alias("Codigo Ponto"),
-            F.concat(F.lit("S-"), F.col("o_orderkey")).alias("Nome Amostra"),
+            "Codigo Ponto",
+            "Nome Amostra",
             F.concat(F.col("o_orderkey"), F.lit("/"), code).alias("Cod Amostra Lab"),
-            day.alias("Data Coleta"),
+            "Data Coleta",
             code.alias("Matriz Monit"),
-            day.alias("Data Recebimento Lab"),
-            F.col("o_orderpriority").alias("Proposta Comercial"),
+            "Data Recebimento Lab",
+            "Proposta Comercial",
         )
     )
     return sample_sheet, analysis_sheet

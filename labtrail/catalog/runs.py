@@ -43,19 +43,18 @@ _SAMPLED = ("dd/MM/yyyy HH:mm", "yyyy-MM-dd HH:mm:ss", "dd-MM-yy HH:mm", "MM-dd-
 
 def delivery(spark, sf_dir):
     """The two sheets of a delivery: names to clean, sampling times in all formats, some days until reception."""
-    samples, analyses = pair_sheets(spark, sf_dir)
-    key = F.substring("Nome Amostra", 3, 30).cast("long")
-    day = F.to_timestamp("Data Coleta", "dd/MM/yyyy")
+    key = F.col("o_orderkey").cast("long")
+    day = F.date_trunc("day", "o_orderdate")
     at = day + F.expr("INTERVAL '10:30' HOUR TO MINUTE")
     written = F.lit(None).cast("string")
     for i, fmt in enumerate(_SAMPLED):
         written = F.when(key % 5 == i, F.date_format(at, fmt)).otherwise(written)
     received = F.date_format(F.date_add(day, (key % 40).cast("int")), "dd/MM/yyyy 08:15")
-    return samples.withColumns({
+    return pair_sheets(spark, sf_dir, **{
         "Nome Amostra": F.concat(F.lit("S_"), key, F.lit(" -Terc")),
         "Data Coleta": written,
         "Data Recebimento Lab": received,
-    }), analyses
+    })
 
 
 def canonical(spark, sf_dir):
