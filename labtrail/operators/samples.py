@@ -93,8 +93,8 @@ def first_samples(df: DataFrame, name: str = "sample_name", parent: str = "paren
 
     Chains are followed by doubling: each round joins what every sample points to with what that one points to,
     so a chain of a thousand samples takes ten rounds. Only links travel, and each round is written to the
-    cluster's shared folder. Once the steps exceed the number of links, whoever
-    still points on is in or behind a cycle.
+    cluster's shared folder. A chain holds samples at every distance from its first, so some arrive in each round until
+    all have; when a round brings nobody there, whoever still points on is in or behind a cycle.
     """
     spark, own = df.sparkSession, F.col(f"`{name}`")
     links = (
@@ -109,16 +109,15 @@ def first_samples(df: DataFrame, name: str = "sample_name", parent: str = "paren
         return spark.read.schema(rows.schema).parquet(folder)
 
     now = written(links.select("name", "to", F.lit(1).cast("long").alias("steps"), F.lit(True).alias("open")))
-    rounds = now.count().bit_length() + 1  # the last one finds out who has arrived
-    for _ in range(rounds):
+    travelling, before = now.count(), 0
+    while travelling and travelling != before:
         ahead = now.select(F.col("name").alias("to"), F.col("to").alias("_to"), F.col("steps").alias("_steps"))
         met = now.join(ahead, "to", "left")
         now = written(met.select(
             "name", F.coalesce("_to", "to").alias("to"),
             (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"), F.col("_to").isNotNull().alias("open"),
         ))
-        if not now.where("open").head(1):
-            break
+        travelling, before = now.where("open").count(), travelling
     loops = F.col("open")
     return now.select(
         F.col("name").alias(name), F.when(~loops, F.col("to")).alias("first"), F.when(~loops, F.col("steps")).alias("steps"),
