@@ -187,11 +187,13 @@ def _differences(profiles: DataFrame, pairs: DataFrame, how: str) -> DataFrame:
 
     how: `left` keeps what only one sample of a pair reports, `inner` leaves out pairs with a sample that reports nothing.
     """
-    first, second = (profiles.select(F.col("sample_name").alias(s), F.col("found").alias(f"_{s}")) for s in ("original", "replica"))
-    met = attach(pairs.select("original", "replica"), first, ["original"])
+    # names and values only: the other entries of a profile need not travel
+    entries = F.arrays_zip("found.chemical_name", "found.value")
+    first, second = (profiles.select(F.col("sample_name").alias(s), entries.alias(f"_{s}")) for s in ("original", "replica"))
+    met = _with_originals(pairs.select("original", "replica"), first, how).join(second, "replica", how)
     if how == "inner":
-        met = met.where(F.col("_original").isNotNull())
-    met = met.join(second, "replica", how)
+        # of pairs that share no parameter nothing can differ, and there may be many of them
+        met = met.where(F.arrays_overlap("_original.chemical_name", "_replica.chemical_name"))
     nothing = F.lit(None).cast(profiles.schema["found"].dataType.elementType["value"].dataType)
 
     def side(found: str) -> Column:
@@ -210,6 +212,21 @@ def _differences(profiles: DataFrame, pairs: DataFrame, how: str) -> DataFrame:
     return wide.withColumn("rpd", rpd(F.col("value_original"), F.col("value_replica")))
 
 
+def _with_originals(pairs: DataFrame, first: DataFrame, how: str) -> DataFrame:
+    """The pairs with what their originals report; `first` stays where it lies, but for the largest few originals.
+
+    Those, as many as there are shuffle partitions, may have very many replicas. `attach` spreads these pairs, and only
+    their originals' entries are copied to the places they go to.
+    """
+    parts = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = pairs.where(F.col("original").isNotNull()).groupBy("original").agg(F.count("*").alias("_n"))
+    hot = F.broadcast(counts.orderBy(F.desc("_n"), "original").limit(parts).select("original"))
+    spread = attach(pairs.join(hot, "original", "left_semi"), first.join(hot, "original", "left_semi"), ["original"])
+    if how == "inner":
+        spread = spread.where(F.col("_original").isNotNull())
+    return pairs.join(hot, "original", "left_anti").join(first, "original", how).unionByName(spread)
+
+
 def replica_rpd(df: DataFrame, pairs: DataFrame, limit: float = RPD_LIMIT) -> DataFrame:
     """Flag the rows of both samples of a pair whose values differ by more than `limit` percent."""
     profiles = _profiles(
